@@ -13,14 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _empty(column: Column) -> Column:
-    return column.isNull() | (column.cast("string") == "")
-
-
-def _any_empty(keys: Sequence[str]) -> Column:
-    found = _empty(F.col(keys[0]))
-    for key in keys[1:]:
-        found = found | _empty(F.col(key))
+def _any_missing(keys: Sequence[str], blank: bool = True) -> Column:
+    """True where a key column is NULL or, with ``blank``, an empty string."""
+    found = F.lit(False)
+    for key in keys:
+        found = found | F.col(key).isNull()
+        if blank:
+            found = found | (F.col(key).cast("string") == "")
     return found
 
 
@@ -31,20 +30,26 @@ def cap_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) ->
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], keep_empty: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    keep_missing: bool = True,
+    blank: bool = True,
+    last: bool = False,
 ) -> DataFrame:
-    """The first row of every key in arrival order.
+    """The first row (or the ``last``) of every key in arrival order.
 
-    Rows whose key is NULL or empty cannot be compared: they all stay, or, with
-    ``keep_empty=False``, all go. ``order`` must tell any two rows of the input apart.
-    Each kept row without a key is made a window partition of its own, which spreads such
-    rows over all tasks instead of gathering them in one.
+    Rows whose key is NULL, or empty unless ``blank`` is False, cannot be compared: they all
+    stay, or, with ``keep_missing=False``, all go. ``order`` must tell any two rows of the
+    input apart. Each kept row without a key is made a window partition of its own, which
+    spreads such rows over all tasks instead of gathering them in one.
     """
-    if not keep_empty:
-        return cap_per_key(df.filter(~_any_empty(keys)), keys, order, 1)
-    own = F.when(_any_empty(keys), F.struct(*order))
-    marked = df.withColumn("_own", own)
-    return cap_per_key(marked, [*keys, "_own"], order, 1).drop("_own")
+    ranked = [F.desc(name) if last else F.asc(name) for name in order]
+    missing = _any_missing(keys, blank)
+    if not keep_missing:
+        return cap_per_key(df.filter(~missing), keys, ranked, 1)
+    marked = df.withColumn("_own", F.when(missing, F.struct(*order)))
+    return cap_per_key(marked, [*keys, "_own"], ranked, 1).drop("_own")
 
 
 def drop_seen(new: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,7 +71,7 @@ def known_keys(*tables: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def distinct_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct non-empty keys."""
-    return df.select(*keys).filter(~_any_empty(keys)).distinct()
+    return df.select(*keys).filter(~_any_missing(keys)).distinct()
 
 
 def new_items(

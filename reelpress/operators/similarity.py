@@ -90,44 +90,63 @@ def _flag_heavy(cells: DataFrame, min_cooccurrence: int, heavy_user: int) -> Dat
     return of_others.unionByName(of_heavy)
 
 
+def _products(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Number and sum of products of the common raters of every pair ``i < j``."""
+    return (
+        left.join(right, on)
+        .filter(F.col("i") < F.col("j"))
+        .groupBy("i", "j")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    )
+
+
+def has_heavy_users(cells: DataFrame, heavy_user: int, user: str = "u") -> bool:
+    """Whether any user has more than ``heavy_user`` rows (an action, but one count per user)."""
+    return not row_counts(cells, user).filter(F.col("count") > heavy_user).isEmpty()
+
+
 def co_rated_pairs(
-    cells: DataFrame, min_cooccurrence: int, heavy_user: int = HEAVY_USER
+    cells: DataFrame,
+    min_cooccurrence: int,
+    heavy_user: int = HEAVY_USER,
+    heavy: bool | None = None,
 ) -> DataFrame:
     """``(i, j, k, sxy)`` with ``i < j`` for every pair that may reach ``min_cooccurrence``.
 
-    ``cells`` holds one row ``(u, i, x)`` per user and item.
+    ``cells`` holds one row ``(u, i, x)`` per user and item. ``heavy`` tells whether there are
+    heavy users, and is looked up if not given; without any, the plain join does it all.
     """
+    if heavy is None:
+        heavy = has_heavy_users(cells, heavy_user)
+    if not heavy:
+        # A stated partition count: the join multiplies rows, so its input must not be packed
+        # into few partitions by its size in bytes. Both sides read the same exchange.
+        parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cells = cells.repartition(parts, "u")
+        second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"))
+        return _products(cells, second, ["u"])
+
     cells = _flag_heavy(cells, min_cooccurrence, heavy_user)
+    second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"), "salts", "aside")
     kept = cells.filter(~F.col("aside"))
-
-    left = kept.select(
-        "u", "i", "x", F.expr("pmod(hash(i), salts)").alias("salt")
-    )
-    right = kept.select(
-        "u",
-        F.col("i").alias("j"),
-        F.col("x").alias("y"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-    )
-    found = (
-        left.join(right, ["u", "salt"])
-        .filter(F.col("i") < F.col("j"))
-        .groupBy("i", "j")
-        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    )
+    salted = kept.select("u", "i", "x", F.expr("pmod(hash(i), salts)").alias("salt"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    kept_second = second.filter(~F.col("aside")).select("u", "j", "y", every_salt)
+    found = _products(salted, kept_second, ["u", "salt"])
 
     # the products left out above, for the pairs found: the user is set aside by i, or by j only
     pairs = found.select("i", "j")
-    aside = cells.filter("aside").select("u", "i", "x")
-    by_first = pairs.join(aside, "i").join(
-        cells.select("u", F.col("i").alias("j"), F.col("x").alias("y")), ["u", "j"]
+    by_first = pairs.join(cells.filter("aside").select("u", "i", "x"), "i").join(
+        second.select("u", "j", "y"), ["u", "j"]
     )
-    by_second = pairs.join(
-        aside.select("u", F.col("i").alias("j"), F.col("x").alias("y")), "j"
-    ).join(kept.select("u", "i", "x"), ["u", "i"])
-    rest = by_first.select("i", "j", "x", "y").unionByName(by_second.select("i", "j", "x", "y"))
-    rest = rest.groupBy("i", "j").agg(
-        F.count(F.lit(1)).alias("k2"), F.sum(F.col("x") * F.col("y")).alias("sxy2")
+    by_second = pairs.join(second.filter("aside").select("u", "j", "y"), "j").join(
+        kept.select("u", "i", "x"), ["u", "i"]
+    )
+    rest = (
+        by_first.select("i", "j", "x", "y")
+        .unionByName(by_second.select("i", "j", "x", "y"))
+        .groupBy("i", "j")
+        .agg(F.count(F.lit(1)).alias("k2"), F.sum(F.col("x") * F.col("y")).alias("sxy2"))
     )
     zero = F.lit(0)
     return found.join(rest, ["i", "j"], "left").select(
@@ -172,7 +191,8 @@ def item_similarity(
     spread = sums.select("i", "sx", (users * F.col("sxx") - F.col("sx") * F.col("sx")).alias("v"))
     cells = cells.join(sums.select("i"), "i", "left_semi")
 
-    pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user).filter(
+    heavy = has_heavy_users(ratings, heavy_user, user)
+    pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user, heavy).filter(
         F.col("k") >= min_cooccurrence
     )
     second = spread.select(

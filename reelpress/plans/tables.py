@@ -30,6 +30,20 @@ FLAG_RULES = {
     "thriller": "p_type = 'LARGE'",
     "war": "p_size = 7",
 }
+#: a small lexicon of frequent words: (word, polarity, subjectivity) in thousandths
+LEXICON = [
+    ("and", 100, 150), ("avec", 250, 300), ("de", -50, 120), ("der", 75, 250),
+    ("el", 325, 500), ("en", -175, 225), ("for", 450, 600), ("ist", 600, 700),
+    ("la", 125, 400), ("les", -300, 350), ("nicht", -800, 900), ("of", -25, 100),
+    ("on", 50, 75), ("pas", -650, 800), ("por", 200, 450), ("que", -100, 325),
+    ("re", -400, 550), ("the", 35, 50), ("to", 15, 25), ("und", 225, 275),
+    ("was", -225, 175), ("with", 525, 650),
+]
+#: words that stand for the keywords of the entities being followed
+KEYWORDS = ["nicht", "que la", "The", "elle", "erblest"]
+#: parts of a link that mark an article on the stand-in pages
+LINK_MARKS = ["/the", "/de", "/und", "/la"]
+PAGE_BASE = "https://pages.example"
 # ------------------------------------------------------------------------------------------
 
 
@@ -73,6 +87,30 @@ ROLES: dict[str, tuple[list[str], str | None, list[str]]] = {
             "lang AS keyword",
         ],
     ),
+    # labelled documents stand for what earlier runs have delivered
+    "delivered": (
+        ["documents", "labels"],
+        "documents.doc_id = labels.doc_id",
+        [
+            "documents.doc_id AS seq",
+            "lang AS stock_name",
+            "concat('https://', source, '.example/', lang, '/',"
+            " CAST(documents.doc_id AS STRING)) AS url",
+            "md5(concat(substring(text, 1, 80), text)) AS content_hash",
+        ],
+    ),
+    "aggregates": (
+        ["orders"],
+        None,
+        [
+            "o_orderkey AS seq",
+            "o_orderpriority AS keyword",
+            "CAST(o_orderdate AS DATE) AS date",
+            "CAST((o_orderkey % 1000) / 1000.0 AS DECIMAL(5,3)) AS average_score",
+            "CAST(o_custkey AS INT) AS article_count",
+            "o_orderstatus AS status",
+        ],
+    ),
     # one run per user and day, one task per event
     "tasks": (
         ["events"],
@@ -110,12 +148,19 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def lexicon(self) -> DataFrame:
+        thousandths = [(w, p / 1000, s / 1000) for w, p, s in LEXICON]
+        return self.spark.createDataFrame(
+            thousandths, "word string, polarity double, subjectivity double"
+        )
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in ROLES:
             tables, condition, columns = ROLES[name]
             df = getattr(self, tables[0])
             if condition is not None:
-                df = df.join(getattr(self, tables[1]), F.expr(condition))
+                right = getattr(self, tables[1]).alias(tables[1])
+                df = df.alias(tables[0]).join(right, F.expr(condition))
             return df.selectExpr(*columns)
         if name in SOURCE_TABLES:
             return self.spark.read.parquet(self.path(name))

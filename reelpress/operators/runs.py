@@ -68,12 +68,14 @@ def latest_success(
     best = (
         runs.filter(F.col(state) == SUCCESS)
         .groupBy(key)
-        .agg(F.max(F.struct(F.col(ts), checked.alias("ok"))).alias("best"))
+        .agg(
+            F.max(ts).alias("last_success"),
+            F.max(F.when(checked, F.col(ts))).alias("last_checked"),
+        )
     )
     young = now - F.col("last_success") <= F.make_dt_interval(hours=F.lit(max_age_hours))
-    return best.select(key, F.col(f"best.{ts}").alias("last_success"), "best.ok").select(
-        key, "last_success", (young & F.col("ok")).alias("is_fresh")
-    )
+    same = F.col("last_success").eqNullSafe(F.col("last_checked"))
+    return best.select(key, "last_success", (young & same).alias("is_fresh"))
 
 
 def nearest_success(

@@ -1,8 +1,8 @@
 """Lexicon sentiment per article, and its aggregates per keyword.
 
 Words are looked up in a lexicon *table* (word, polarity, subjectivity); an article's value is
-the mean over its hits. Means are taken over decimals, so they do not depend on the order in
-which partial sums meet.
+the mean over its hits. Sums are taken over whole numbers, so means do not depend on the order
+in which partial sums meet.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from reelpress.functions import scoring as C
 from reelpress.functions import text as X
 
-_EXACT = "decimal(9,6)"
+#: lexicon values are summed as whole millionths
+_UNIT = 1_000_000
 
 
 def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame) -> DataFrame:
@@ -24,23 +25,27 @@ def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame)
     shuffled.
     """
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    tokens = df.select(F.col(id), F.explode(words).alias("word"))
-    known = lexicon.select(
+    # The empty word is added to every article and to the lexicon, there without values: the
+    # inner join then drops all other tokens early and still keeps articles without a hit.
+    tokens = df.select(F.col(id), F.explode(F.concat(words, F.array(F.lit("")))).alias("word"))
+    known = lexicon.filter(F.col("word") != "").select(
         "word",
-        F.col("polarity").cast(_EXACT).alias("p"),
-        F.col("subjectivity").cast(_EXACT).alias("s"),
+        F.round(F.col("polarity") * _UNIT).cast("bigint").alias("p"),
+        F.round(F.col("subjectivity") * _UNIT).cast("bigint").alias("s"),
     )
-    zero = F.lit(0)
+    no_hit = lexicon.sparkSession.range(1).selectExpr(
+        "'' AS word", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS s"
+    )
+
+    def mean(total: str) -> Column:
+        exact = F.col(total).cast("decimal(20,0)") / F.col("hits") / F.lit(_UNIT)
+        return F.when(F.col("hits") > 0, exact).otherwise(0).cast("decimal(18,12)")
+
     return (
-        tokens.join(known, "word", "left")
+        tokens.join(known.unionByName(no_hit), "word")
         .groupBy(id)
         .agg(F.sum("p").alias("p"), F.sum("s").alias("s"), F.count("p").alias("hits"))
-        .select(
-            id,
-            F.coalesce(F.try_divide("p", "hits"), zero).cast("decimal(18,12)").alias("mean_polarity"),
-            F.coalesce(F.try_divide("s", "hits"), zero).cast("decimal(18,12)").alias("mean_s"),
-            "hits",
-        )
+        .select(id, mean("p").alias("mean_polarity"), mean("s").alias("mean_s"), "hits")
         .select(
             id,
             F.round("mean_polarity", C.DIGITS).cast("double").alias("polarity"),

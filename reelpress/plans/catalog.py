@@ -3,6 +3,7 @@
 from reelpress.plans import (  # noqa: F401  (each registers its queries on import)
     article_queries,
     ratings_queries,
+    table_queries,
 )
 from reelpress.plans.registry import CATALOG, Query
 

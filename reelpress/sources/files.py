@@ -39,17 +39,19 @@ def read_parquet(
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """JSON files of one document each; a missing path gives no rows.
+def read_json(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, lines: bool = False
+) -> DataFrame:
+    """JSON files of one document each, or of one per line; a missing path gives no rows.
 
-    A file that is not JSON becomes a row of NULLs with its text in ``_corrupt_record``.
+    What is not JSON becomes a row of NULLs with its text in ``_corrupt_record``.
     """
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     return _or_empty(
         spark,
         wide,
         lambda: spark.read.schema(wide)
-        .options(multiLine=True, mode="PERMISSIVE", ignoreMissingFiles=True)
+        .options(multiLine=not lines, mode="PERMISSIVE", ignoreMissingFiles=True)
         .json(path),
     )
 

@@ -14,10 +14,10 @@ SITE_PHRASES = ["Share this article", "Follow us on", "Subscribe to"]
 WHITESPACE_RUN = r"[\s\x1c-\x1f\x0b\x{85}\x{a0}\p{Z}]+"
 #: everything that is not a letter, digit, underscore, space or basic punctuation
 DISALLOWED = r"[^\p{L}\p{N}_\s.,!?;:\-()]"
-#: named entities and the text they stand for; ``&amp;`` last, so nothing is decoded twice
+#: named entities and the text they stand for; ``amp`` last, so nothing is decoded twice
 ENTITIES = [
-    ("&nbsp;", " "), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"),
-    ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+    ("nbsp", "\u00a0"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"),
+    ("amp", "&"),
 ]
 # -----------------------------------------------------------------------------------------
 
@@ -35,8 +35,9 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def decode_entities(text: Column) -> Column:
+    """Resolves the entities above, which HTML also allows without their semicolon."""
     for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
+        text = F.regexp_replace(text, f"&{entity};?", plain)
     return text
 
 

@@ -37,7 +37,7 @@ def clean(expr: str, phrases=X.SITE_PHRASES) -> str:
 
 def decoded(expr: str) -> str:
     for entity, plain in X.ENTITIES:
-        expr = f"replace({expr}, {quoted(entity)}, {quoted(plain)})"
+        expr = replace_all(expr, f"&{entity};?", plain)
     return expr
 
 

@@ -12,6 +12,7 @@ from reelpress.schemas import GENRES
 
 #: thresholds that suit the sparse stand-in ratings
 SIMILARITY, COOCCURRENCE = 0.05, 3
+ONE_TITLE = (0.001, 2)
 MIN_COUNT = 20
 
 
@@ -160,21 +161,24 @@ def user_item_matrix(t: Tables):
 
 
 _CELLS = """cells AS (SELECT user_id, movie_id, avg(rating) AS x FROM ratings GROUP BY 1, 2)"""
-_SIMILARITY = f"""
+
+
+def _similarity_sql(least: float, common: int) -> str:
+    return f"""
     {_CELLS},
-    popular AS (SELECT movie_id FROM ratings GROUP BY 1 HAVING count(*) >= {COOCCURRENCE}),
+    popular AS (SELECT movie_id FROM ratings GROUP BY 1 HAVING count(*) >= {common}),
     total AS (SELECT CAST(count(DISTINCT user_id) AS DOUBLE) AS n FROM ratings),
     sums AS (SELECT movie_id, sum(x) AS sx, sum(x * x) AS sxx
              FROM cells JOIN popular USING (movie_id) GROUP BY 1),
     pairs AS (SELECT a.movie_id AS i, b.movie_id AS j, count(*) AS k, sum(a.x * b.x) AS sxy
               FROM cells a JOIN cells b ON a.user_id = b.user_id AND a.movie_id < b.movie_id
-              GROUP BY 1, 2 HAVING count(*) >= {COOCCURRENCE}),
+              GROUP BY 1, 2 HAVING count(*) >= {common}),
     scored AS (SELECT i, j, k,
                       (n * sxy - p.sx * q.sx)
                       / nullif(sqrt((n * p.sxx - p.sx * p.sx) * (n * q.sxx - q.sx * q.sx)), 0) AS s
                FROM pairs JOIN sums p ON p.movie_id = i JOIN sums q ON q.movie_id = j
                CROSS JOIN total),
-    passed AS (SELECT i, j, k, s FROM scored WHERE s >= {SIMILARITY}),
+    passed AS (SELECT i, j, k, s FROM scored WHERE s >= {least}),
     similar_pairs AS (
         SELECT i AS movie_id, j AS similar_movie_id, round(s, 6) AS similarity_score,
                k AS cooccurrence_count FROM passed
@@ -183,7 +187,7 @@ _SIMILARITY = f"""
 
 @query(
     "M2 M1 E4 E5 E7 C15 D3 D11 D12",
-    f"WITH {_SIMILARITY} SELECT * FROM similar_pairs",
+    f"WITH {_similarity_sql(SIMILARITY, COOCCURRENCE)} SELECT * FROM similar_pairs",
 )
 def similar_item_pairs(t: Tables):
     return _rounded(
@@ -208,14 +212,12 @@ def co_rated_item_pairs(t: Tables):
 
 @query(
     "G3 C16 D4",
-    f"""WITH {_SIMILARITY}
+    f"""WITH {_similarity_sql(*ONE_TITLE)}
         SELECT s.similar_movie_id, m.title, s.similarity_score, s.cooccurrence_count
         FROM similar_pairs s JOIN items m ON m.movie_id = s.similar_movie_id
         WHERE s.movie_id = (SELECT min(movie_id) FROM items WHERE title = 'small bolt')
         ORDER BY s.similarity_score DESC, s.similar_movie_id LIMIT 10""",
 )
 def items_similar_to_title(t: Tables):
-    pairs = _rounded(
-        S.item_similarity(t.ratings, SIMILARITY, COOCCURRENCE), "similarity_score"
-    )
+    pairs = _rounded(S.item_similarity(t.ratings, *ONE_TITLE), "similarity_score")
     return S.similar_items(pairs, t.items, "small bolt")

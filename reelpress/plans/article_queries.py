@@ -35,7 +35,7 @@ def _with_hash(articles):
 
 @query("I1", f"SELECT seq, md5({Q.clean('content')}) AS digest FROM articles")
 def cleaned_text_digests(t: Tables):
-    return t.articles.select("seq", F.md5(X.clean_text(F.col("content"))).alias("digest"))
+    return t.spread("articles").select("seq", F.md5(X.clean_text(F.col("content"))).alias("digest"))
 
 
 @query(
@@ -44,7 +44,7 @@ def cleaned_text_digests(t: Tables):
 )
 def cleaned_text_digests_keeping_phrases(t: Tables):
     cleaned = X.clean_text(F.col("content"), phrases=[])
-    return t.articles.select("seq", F.md5(cleaned).alias("digest"))
+    return t.spread("articles").select("seq", F.md5(cleaned).alias("digest"))
 
 
 @query(
@@ -83,7 +83,7 @@ _PREPARED_COLUMNS = ["seq", "keyword", "source", "content_hash", "content_length
     f"WITH {_PREPARED} SELECT {', '.join(_PREPARED_COLUMNS)} FROM prepared",
 )
 def prepared_articles(t: Tables):
-    return A.prepare_articles(t.articles).select(*_PREPARED_COLUMNS)
+    return A.prepare_articles(t.spread("articles")).select(*_PREPARED_COLUMNS)
 
 
 @query(
@@ -94,7 +94,7 @@ def prepared_articles(t: Tables):
               FROM prepared) p WHERE r = 1""",
 )
 def unique_articles(t: Tables):
-    return A.process_batch(A.prepare_articles(t.articles)).select(*_PREPARED_COLUMNS)
+    return A.process_batch(A.prepare_articles(t.spread("articles"))).select(*_PREPARED_COLUMNS)
 
 
 @query(
@@ -278,7 +278,7 @@ def page_titles(t: Tables):
         FROM read_pages""",
 )
 def page_article_digests(t: Tables):
-    return P.read_pages(t.pages).select(
+    return P.read_pages(t.spread("pages")).select(
         "page_id", F.md5("content").alias("digest"), F.length("content").alias("n")
     )
 
@@ -290,7 +290,7 @@ def page_article_digests(t: Tables):
         FROM read_pages""",
 )
 def parsed_page_digests(t: Tables):
-    return P.parse_pages(t.pages).select(
+    return P.parse_pages(t.spread("pages")).select(
         "page_id", "title", F.md5("content").alias("digest"), F.length("content").alias("n")
     )
 
@@ -321,7 +321,7 @@ def page_links(t: Tables):
 
 @query("J3", f"WITH {_LINKS} SELECT page_id, position, link FROM page_links")
 def parsed_page_links(t: Tables):
-    parsed = P.parse_pages(t.pages, marks=LINK_MARKS)
+    parsed = P.parse_pages(t.spread("pages"), marks=LINK_MARKS)
     return P.extract_links(parsed, PAGE_BASE, LINK_MARKS, links=F.col("links")).select(
         "page_id", "position", "link"
     )
@@ -359,7 +359,7 @@ def page_links_or_page(t: Tables):
 )
 def page_article_records(t: Tables):
     records = P.extract_articles(
-        P.read_pages(t.pages), KEYWORDS, F.lit("pages"), _run_time()
+        P.read_pages(t.spread("pages")), KEYWORDS, F.lit("pages"), _run_time()
     )
     return records.withColumn("content_digest", F.md5("content")).drop("content", "full_content")
 
@@ -375,7 +375,7 @@ def page_article_records(t: Tables):
           OR contains(lower(a.content), lower(k.keyword))""",
 )
 def article_keyword_matches(t: Tables):
-    hits = P.explode_keywords(t.articles, ["title", "content"], KEYWORDS, out="found")
+    hits = P.explode_keywords(t.spread("articles"), ["title", "content"], KEYWORDS, out="found")
     return hits.select("seq", "found")
 
 
@@ -415,7 +415,7 @@ def feed_posts_by_keyword(t: Tables):
 )
 def article_polarity(t: Tables):
     text = X.scoring_text(F.col("title"), F.col("content"))
-    scored = S.lexicon_sentiment(t.articles, "seq", text, t.lexicon())
+    scored = S.lexicon_sentiment(t.spread("articles"), "seq", text, t.lexicon())
     return scored.select("seq", "polarity", "subjectivity")
 
 
@@ -430,7 +430,7 @@ def article_polarity(t: Tables):
         FROM scored JOIN articles a USING (seq)""",
 )
 def article_sentiment_records(t: Tables):
-    articles = t.articles.withColumns(
+    articles = t.spread("articles").withColumns(
         {"article": F.col("seq").cast("string"), "content_length": F.length("content")}
     )
     records = S.sentiment_records(articles, t.lexicon(), _run_time(), id="article")
@@ -468,7 +468,7 @@ def score_distribution_by_keyword(t: Tables):
 
 
 def _score_records(t: Tables):
-    return S.sentiment_records(t.articles, t.lexicon(), _run_time(), id="seq")
+    return S.sentiment_records(t.spread("articles"), t.lexicon(), _run_time(), id="seq")
 
 
 @query(
@@ -482,7 +482,7 @@ def _score_records(t: Tables):
 )
 def noisy_article_scores(t: Tables):
     text = X.scoring_text(F.col("title"), F.col("content"))
-    scored = S.lexicon_sentiment(t.articles, "seq", text, t.lexicon())
+    scored = S.lexicon_sentiment(t.spread("articles"), "seq", text, t.lexicon())
     noise = C.keyed_noise(F.col("seq").cast("string"), "r1")
     return scored.select("seq", C.scale_score(F.col("mean_polarity"), noise).alias("score"))
 

@@ -672,6 +672,6 @@ def factor_similar_items(t: Tables):
                AS average_score, n AS article_count FROM by_source""",
 )
 def sentiment_by_source(t: Tables):
-    records = S.sentiment_records(t.articles, t.lexicon(), F.lit(None).cast("timestamp"), id="seq")
+    records = S.sentiment_records(t.spread("articles"), t.lexicon(), F.lit(None).cast("timestamp"), id="seq")
     by_source = S.sentiment_by_key(records, key="source")
     return by_source.select(F.col("source").alias("keyword"), "average_score", "article_count")

@@ -134,6 +134,13 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     )
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or of everything below a directory, from the file system's listing."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def under_prefix(inventory: DataFrame, prefix: str) -> DataFrame:
     return inventory.filter(F.startswith("key", F.lit(prefix)))
 

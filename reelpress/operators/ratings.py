@@ -98,11 +98,11 @@ def bin_column(
 
 def first_flag(df: DataFrame, flags: Sequence[str] = tuple(GENRES), out: str = "genre") -> DataFrame:
     """Name of the first flag that is set, one row per input row; rows without any go."""
-    set_names = F.filter(
-        F.array(*(F.when(F.col(flag) == 1, F.lit(flag)) for flag in flags)),
-        lambda name: name.isNotNull(),
-    )
-    return df.withColumn(out, F.get(set_names, F.lit(0))).filter(F.col(out).isNotNull())
+    (head, *rest) = flags
+    name = F.when(F.col(head) == 1, head)
+    for flag in rest:
+        name = name.when(F.col(flag) == 1, flag)
+    return df.withColumn(out, name).filter(F.col(out).isNotNull())
 
 
 def unpivot_flags(

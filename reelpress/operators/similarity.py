@@ -7,8 +7,7 @@ is ever built.
 
 Pairs come from users who rated both items. What keeps that join in hand:
 
-* Items below the support threshold leave first; a pair needs ``min_cooccurrence`` common
-  users, so an item with fewer distinct users leaves as well.
+* Items below the support threshold leave before anything is shuffled.
 * A user with more than ``heavy_user`` items is *heavy*. Heavy users are ordered by how many
   items they rated, and each item sets aside its ``min_cooccurrence - 1`` heaviest ones.
   Suppose two items share only users that the first has set aside: then they share at most
@@ -62,7 +61,8 @@ def both_directions(pairs: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def _user_item_means(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+def _cells(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """One row per user and item with the mean rating ``x``."""
     return ratings.groupBy(F.col(user).alias("u"), F.col(item).alias("i")).agg(
         F.avg(rating).alias("x")
     )
@@ -169,29 +169,31 @@ def item_similarity(
     """Pairs of popular items that correlate and were rated together often enough.
 
     ``min_cooccurrence`` (at least 1) bounds the rating rows per item and, counted in distinct
-    users, the common raters per pair. Each pair appears in both directions.
+    users, the common raters per pair. Each pair appears in both directions. Ratings without
+    user or item are ignored.
     """
     if min_cooccurrence < 1:
         raise ValueError("min_cooccurrence must be at least 1")
     other = f"similar_{item}"
-    popular = popular_items(ratings, min_cooccurrence, item).withColumnRenamed(item, "i")
-    cells = _user_item_means(ratings, user, item, rating).join(popular, "i", "left_semi")
-    # every rated user counts, also those who rated no popular item
-    users = ratings.select(user).distinct().agg(F.count(F.lit(1))).scalar().cast("double")
-
-    sums = (
-        cells.groupBy("i")
-        .agg(
-            F.count(F.lit(1)).alias("raters"),
-            F.sum("x").alias("sx"),
-            F.sum(F.col("x") * F.col("x")).alias("sxx"),
-        )
-        .filter(F.col("raters") >= min_cooccurrence)
+    ratings = ratings.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+    # One pass tells the number of users (all rated users count, also those who rated no
+    # popular item) and whether any is heavy: a single row.
+    users, busiest = (
+        row_counts(ratings, user)
+        .agg(F.count(F.lit(1)), F.coalesce(F.max("count"), F.lit(0)))
+        .first()
+    )
+    users = F.lit(float(users))
+    # Items without support leave before the ratings are shuffled. Item sums and pairs then
+    # share one exchange by (user, item).
+    popular = popular_items(ratings, min_cooccurrence, item)
+    cells = _cells(only_popular(ratings, popular, item), user, item, rating)
+    sums = cells.groupBy("i").agg(
+        F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")
     )
     spread = sums.select("i", "sx", (users * F.col("sxx") - F.col("sx") * F.col("sx")).alias("v"))
-    cells = cells.join(sums.select("i"), "i", "left_semi")
 
-    heavy = has_heavy_users(ratings, heavy_user, user)
+    heavy = busiest > heavy_user
     pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user, heavy).filter(
         F.col("k") >= min_cooccurrence
     )

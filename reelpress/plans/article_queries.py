@@ -245,7 +245,7 @@ probed AS (SELECT p.seq, count(b.position) = count(*) AS seen
 
 @query("L4", f"WITH {_PROBED} SELECT seq, seen FROM probed")
 def sketch_membership(t: Tables):
-    urls = t.articles.select("seq", F.col("keyword").alias("stock_name"), "url")
+    urls = t.spread("articles").select("seq", F.col("keyword").alias("stock_name"), "url")
     sketch = B.build_sketch(t.delivered, "stock_name", _item_key())
     return B.might_contain(urls, sketch, "stock_name", _item_key()).select("seq", "seen")
 
@@ -258,7 +258,7 @@ def sketch_membership(t: Tables):
                                        WHERE d.stock_name = u.stock_name AND d.url = u.url)""",
 )
 def urls_unseen_by_table_and_sketch(t: Tables):
-    urls = t.articles.select("seq", F.col("keyword").alias("stock_name"), "url")
+    urls = t.spread("articles").select("seq", F.col("keyword").alias("stock_name"), "url")
     sketch = B.build_sketch(t.delivered, "stock_name", _item_key())
     return B.unseen_urls(urls, t.delivered, sketch)
 

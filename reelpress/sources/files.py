@@ -119,7 +119,10 @@ def read_stage(
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(key, path, length, modified)`` of all files below a path. No content is read."""
+    """``(key, path, length, modified)`` of all non-empty files below a path.
+
+    No content is read.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

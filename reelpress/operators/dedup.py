@@ -75,13 +75,20 @@ def distinct_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def new_items(
-    batch: DataFrame, seen: DataFrame, keys: Sequence[str], order: Sequence[str]
+    batch: DataFrame,
+    seen: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    complete: bool = False,
 ) -> DataFrame:
     """First occurrences of the batch that no earlier batch has delivered.
 
-    In-batch repeats go first, so the join with the history sees one row per key.
+    In-batch repeats go first, so the join with the history sees one row per key. Where every
+    row is known to have its key, say so with ``complete``: selection and join then share one
+    exchange of the batch.
     """
-    return drop_seen(first_per_key(batch, keys, order), seen, keys)
+    first = cap_per_key(batch, keys, order, 1) if complete else first_per_key(batch, keys, order)
+    return drop_seen(first, seen, keys)
 
 
 def with_fallback(primary: DataFrame, backup: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -108,11 +108,21 @@ def corpus_report(articles: DataFrame, scores: DataFrame, aggregates: DataFrame)
         F.col("n").cast("string").alias("value"),
     )
     totals = table_counts({"sentiment_scores": scores, "aggregate_scores": aggregates})
-    latest = latest_by_max(aggregates, "date")
+    figures = F.array(
+        *(
+            F.struct(
+                F.lit(section).alias("section"),
+                F.col("keyword").alias("key"),
+                F.col(column).cast("string").alias("value"),
+            )
+            for section, column in (
+                ("latest_score", "average_score"),
+                ("latest_article_count", "article_count"),
+            )
+        )
+    )
+    latest = latest_by_max(aggregates, "date").select(F.inline(figures))
     return (
         from_articles.unionByName(_entries(totals, "total", F.col("table_name"), F.col("n")))
-        .unionByName(_entries(latest, "latest_score", F.col("keyword"), F.col("average_score")))
-        .unionByName(
-            _entries(latest, "latest_article_count", F.col("keyword"), F.col("article_count"))
-        )
+        .unionByName(latest)
     )

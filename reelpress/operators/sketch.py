@@ -29,11 +29,14 @@ def bit_positions(
 def build_sketch(
     items: DataFrame, group: str, item: Column, bits: int = SKETCH_BITS, hashes: int | None = None
 ) -> DataFrame:
-    spots = items.select(group, F.explode(positions(item, bits, hashes)).alias("p"))
+    """The sketch of the items. Repeated bits go map-side, before bitmaps are put together."""
     # Spark numbers bitmap positions from 1
-    return spots.groupBy(
-        group, F.bitmap_bucket_number(F.col("p") + 1).alias("bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bitmap"))
+    spot = F.col("position") + 1
+    return (
+        bit_positions(items, group, item, bits, hashes)
+        .groupBy(group, F.bitmap_bucket_number(spot).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bitmap"))
+    )
 
 
 def merge_sketches(first: DataFrame, second: DataFrame, group: str) -> DataFrame:

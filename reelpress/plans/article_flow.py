@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelpress.functions import text as X
-from reelpress.operators.dedup import first_per_key, new_items
+from reelpress.operators.dedup import cap_per_key, new_items
 
 # ---- fixed values -----------------------------------------------------------------------
 #: shortest cleaned content, in characters, that counts as an article
@@ -64,10 +64,13 @@ def prepare_articles(
 def process_batch(
     prepared: DataFrame, seen: DataFrame | None = None, order: str = "seq"
 ) -> DataFrame:
-    """Articles whose hash is new, within the batch and, if given, against ``seen``."""
+    """Articles whose hash is new, within the batch and, if given, against ``seen``.
+
+    Prepared articles always have a hash, so one exchange by hash serves both steps.
+    """
     if seen is None:
-        return first_per_key(prepared, ["content_hash"], [order])
-    return new_items(prepared, seen, ["content_hash"], [order])
+        return cap_per_key(prepared, ["content_hash"], [order], 1)
+    return new_items(prepared, seen, ["content_hash"], [order], complete=True)
 
 
 def with_processed_path(processed: DataFrame, run_time: Column) -> DataFrame:

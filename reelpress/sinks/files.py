@@ -34,6 +34,21 @@ def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """Appends to a catalogue table laid out by hash of the keys.
+
+    Suits the log of delivered keys: a batch joined with it is exchanged to the table's
+    buckets, and the history itself, however large, stays where it is.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("append")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replaces the partitions that occur in ``df`` and leaves all others alone.
 

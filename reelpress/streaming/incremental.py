@@ -35,10 +35,14 @@ def delivered(spark: SparkSession, table: str, keys: Sequence[str], batch_id: in
 def deliver_new(
     batch: DataFrame, batch_id: int, table: str, keys: Sequence[str], order: str
 ) -> DataFrame:
-    """Writes the rows of the batch with new keys and returns what was written."""
+    """Writes the rows of the batch with new keys and returns what was written.
+
+    Every row must have its key, as prepared articles have.
+    """
     spark = batch.sparkSession
     path = f"{table}/batch_id={batch_id}"
-    fresh = new_items(batch, delivered(spark, table, keys, batch_id), keys, [order])
+    seen = delivered(spark, table, keys, batch_id)
+    fresh = new_items(batch, seen, keys, [order], complete=True)
     write_parquet(fresh, path)
     return spark.read.schema(fresh.schema).parquet(path)
 

@@ -5,8 +5,10 @@ import re
 import pytest
 
 from reelpress.operators import dedup as D
+from reelpress.plans import article_flow as A
 from reelpress.plans.catalog import CATALOG
 from reelpress.plans.tables import Tables
+from reelpress.sinks import files as W
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = {
@@ -73,3 +75,38 @@ def test_filters_reach_the_scan(spark):
 def test_aggregates_are_partial_first(spark):
     for name in ("rating_stats_by_item", "run_outcomes", "sentiment_by_keyword"):
         assert "partial_" in plan(CATALOG[name].run(spark, FOLDER))
+
+
+def test_one_exchange_for_selection_and_history(spark):
+    t = Tables(spark, FOLDER)
+    seen = t.delivered.select("content_hash")
+    df = A.process_batch(A.prepare_articles(t.articles), seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        above_join = plan(df).split("LeftAnti")[1]
+        batch = above_join.split("FileScan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert batch.count("Exchange") == 1
+
+
+def test_bucketed_history_is_not_exchanged(spark, tmp_path):
+    t = Tables(spark, FOLDER)
+    name = "delivered_keys"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    keys = t.delivered.select("content_hash")
+    path = f"{tmp_path}/{name}"
+    spark.sql(
+        f"CREATE TABLE {name} (content_hash STRING) USING parquet"
+        f" CLUSTERED BY (content_hash) SORTED BY (content_hash) INTO 8 BUCKETS LOCATION '{path}'"
+    )
+    W.save_bucketed(keys, name, ["content_hash"], 8)
+    df = A.process_batch(A.prepare_articles(t.articles), spark.table(name))
+    expected = A.process_batch(A.prepare_articles(t.articles), keys).count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert plan(df).count("Exchange") == 1
+        assert df.count() == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {name}")

@@ -84,13 +84,22 @@ def matches_keyword(columns: Sequence[Column], keyword: Column | str) -> Column:
     return found
 
 
-def matching_keywords(columns: Sequence[Column], keywords: Sequence[str]) -> Column:
-    """Array of those keywords found in any of the columns, in the given order.
+def matching_keywords(lowered: Sequence[Column], keywords: Sequence[str]) -> Column:
+    """Array of those keywords found in any of the lower-cased columns, in the given order.
 
     One pass over each row with the keyword list as a literal: no join, no shuffle.
     """
-    words = F.array(*(F.lit(word) for word in keywords)).cast("array<string>")
-    return F.filter(words, lambda word: matches_keyword(columns, word))
+    words = F.array(
+        *(F.struct(F.lit(w).alias("word"), F.lower(F.lit(w)).alias("needle")) for w in keywords)
+    )
+
+    def found(entry: Column) -> Column:
+        hit = F.lit(False)
+        for column in lowered:
+            hit = hit | F.contains(column, entry["needle"])
+        return hit
+
+    return F.transform(F.filter(words, found), lambda entry: entry["word"])
 
 
 def first_text(*candidates: Column) -> Column:

@@ -179,9 +179,14 @@ def extract_links(
 def explode_keywords(
     df: DataFrame, columns: Sequence[str], keywords: Sequence[str], out: str = "keyword"
 ) -> DataFrame:
-    """One row per keyword found in any of the columns; rows without a match go."""
-    found = X.matching_keywords([F.col(name) for name in columns], keywords)
-    return df.withColumn(out, F.explode(found))
+    """One row per keyword found in any of the columns; rows without a match go.
+
+    The columns are lower-cased once per row, not once per keyword.
+    """
+    lowered = {f"_lower_{name}": F.lower(F.coalesce(name, F.lit(""))) for name in columns}
+    once = X.compute_once(df, **lowered)
+    found = X.matching_keywords([F.col(name) for name in lowered], keywords)
+    return once.withColumn(out, F.explode(found)).drop(*lowered)
 
 
 def extract_articles(

@@ -111,6 +111,11 @@ def articles_not_delivered_before(t: Tables):
     return D.new_items(batch, seen, ["content_hash"], ["seq"])
 
 
+@query("E16", "SELECT DISTINCT md5(concat(title, content)) AS content_hash FROM articles")
+def distinct_content_hashes(t: Tables):
+    return D.distinct_rows(_with_hash(t.articles), ["content_hash"])
+
+
 @query(
     "D7 C12",
     """SELECT a.seq, length(coalesce(nullif(d.text, ''), a.title)) AS n

@@ -20,8 +20,14 @@ from reelpress.sinks.files import read_snapshot, write_parquet, write_snapshot
 from reelpress.sources.files import read_parquet
 
 
-def read_new_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def read_new_files(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of the files below a path; ``files_per_batch`` bounds one micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def delivered(spark: SparkSession, table: str, keys: Sequence[str], batch_id: int) -> DataFrame:

@@ -24,8 +24,8 @@ def lexicon(spark):
     )
 
 
-def run(spark, tmp_path, lexicon, name):
-    stream = INC.read_new_files(spark, f"{tmp_path}/in", articles(spark, [0]).schema)
+def run(spark, tmp_path, lexicon, name, files=None):
+    stream = INC.read_new_files(spark, f"{tmp_path}/in", articles(spark, [0]).schema, files)
     INC.run_incremental(stream, f"{tmp_path}/{name}", f"{tmp_path}/{name}_ck", lexicon=lexicon)
 
 
@@ -52,6 +52,9 @@ def test_two_increments_equal_one_batch(spark, tmp_path, lexicon):
     run(spark, tmp_path, lexicon, "whole")
     whole = delivered(spark, tmp_path, "whole")
     assert delivered(spark, tmp_path, "steps") == whole
+    run(spark, tmp_path, lexicon, "small", files=4)
+    hashes = [h for _, h in delivered(spark, tmp_path, "small")]
+    assert sorted(hashes) == sorted(h for _, h in whole)
     batch = A.process_batch(A.prepare_articles(first.union(second).dropDuplicates(["seq"])))
     assert whole == sorted((r.seq, r.content_hash) for r in batch.collect())
     assert counts(spark, tmp_path, "steps") == counts(spark, tmp_path, "whole")

@@ -121,6 +121,11 @@ def _links(page: _Outline, marks: Sequence[str]) -> list[str]:
     return found
 
 
+def _read(page: str, marks: Sequence[str]) -> tuple[str, str, list[str]]:
+    outline = _Outline(page)
+    return _title(outline), _content(outline), _links(outline, marks)
+
+
 def parse_pages(
     pages: DataFrame,
     html: str = "html",
@@ -128,7 +133,8 @@ def parse_pages(
 ) -> DataFrame:
     """Adds ``title``, ``content`` and ``links`` (array) and drops the HTML column.
 
-    For pages with class selectors and nested markup. One Arrow batch at a time, no shuffle.
+    For pages with class selectors and nested markup. One Arrow batch at a time (Spark bounds
+    a batch by rows and by bytes), no shuffle.
     """
     kept = [field for field in pages.schema.fields if field.name != html]
     schema = ", ".join(
@@ -139,12 +145,9 @@ def parse_pages(
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            outlines = [_Outline(page or "") for page in batch.pop(html)]
-            yield batch.assign(
-                title=[_title(page) for page in outlines],
-                content=[_content(page) for page in outlines],
-                links=[_links(page, wanted) for page in outlines],
-            )
+            found = [_read(page or "", wanted) for page in batch.pop(html)]
+            title, content, links = zip(*found) if found else ((), (), ())
+            yield batch.assign(title=title, content=content, links=links)
 
     return pages.mapInPandas(parse, schema)
 

@@ -14,6 +14,10 @@ Pairs come from users who rated both items. What keeps that join in hand:
   ``min_cooccurrence - 1`` of them and cannot qualify. So every qualifying pair shares a user
   that neither has set aside, and the pair join may leave the rest out. The few users who
   rated nearly everything never expand into pairs.
+* An item may set aside more of its heaviest users, as long as their part of its squared norm
+  is small. With ``Q`` that part and ``c = Sxx - Sx**2 / n``, two items that share only such
+  users have a correlation of at most ``sqrt(Q_i / c_i * max_j(Sxx_j / c_j))``, ratings not
+  being negative; below the similarity threshold the pair cannot qualify either.
 * What was left out is added afterwards, for the pairs that exist: nothing is approximated.
 * Heavy users that remain are spread over several join partitions by salt.
 """
@@ -68,21 +72,33 @@ def _cells(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     )
 
 
-def _flag_heavy(cells: DataFrame, min_cooccurrence: int, heavy_user: int) -> DataFrame:
-    """Adds ``salts`` (join partitions of the user) and ``aside`` (left out of the pair join)."""
+def _flag_heavy(
+    cells: DataFrame, min_cooccurrence: int, heavy_user: int, budget: DataFrame | None
+) -> DataFrame:
+    """Adds ``salts`` (join partitions of the user) and ``aside`` (left out of the pair join).
+
+    ``budget`` may hold ``(i, q)``: how much of its squared norm an item can set aside.
+    """
     heavy = (
         cells.groupBy("u")
         .agg(F.count(F.lit(1)).alias("m"))
         .filter(F.col("m") > heavy_user)
     )
     marked = cells.join(heavy, "u", "left")
+    heavy_cells = marked.filter(F.col("m").isNotNull())
     heaviest = Window.partitionBy("i").orderBy(F.desc("m"), F.desc("u"))
-    of_heavy = marked.filter(F.col("m").isNotNull()).select(
+    aside = F.row_number().over(heaviest) < min_cooccurrence
+    if budget is not None:
+        heavy_cells = heavy_cells.join(budget, "i", "left")
+        so_far = heaviest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        norm = F.sum(F.col("x") * F.col("x")).over(so_far)
+        aside = aside | F.coalesce(norm < F.col("q"), F.lit(False))
+    of_heavy = heavy_cells.select(
         "u",
         "i",
         "x",
         F.ceil(F.col("m") / F.lit(heavy_user)).cast("int").alias("salts"),
-        (F.row_number().over(heaviest) < min_cooccurrence).alias("aside"),
+        aside.alias("aside"),
     )
     of_others = marked.filter(F.col("m").isNull()).select(
         "u", "i", "x", F.lit(1).alias("salts"), F.lit(False).alias("aside")
@@ -110,8 +126,10 @@ def co_rated_pairs(
     min_cooccurrence: int,
     heavy_user: int = HEAVY_USER,
     heavy: bool | None = None,
+    budget: DataFrame | None = None,
 ) -> DataFrame:
-    """``(i, j, k, sxy)`` with ``i < j`` for every pair that may reach ``min_cooccurrence``.
+    """``(i, j, k, sxy)`` with ``i < j`` for every pair that may reach ``min_cooccurrence``
+    (and, with a ``budget`` of the items, the similarity it was made for).
 
     ``cells`` holds one row ``(u, i, x)`` per user and item. ``heavy`` tells whether there are
     heavy users, and is looked up if not given; without any, the plain join does it all.
@@ -126,7 +144,7 @@ def co_rated_pairs(
         second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"))
         return _products(cells, second, ["u"])
 
-    cells = _flag_heavy(cells, min_cooccurrence, heavy_user)
+    cells = _flag_heavy(cells, min_cooccurrence, heavy_user, budget)
     second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"), "salts", "aside")
     kept = cells.filter(~F.col("aside"))
     salted = kept.select("u", "i", "x", F.expr("pmod(hash(i), salts)").alias("salt"))
@@ -157,6 +175,17 @@ def co_rated_pairs(
     )
 
 
+def _norm_budget(sums: DataFrame, users, min_similarity: float) -> DataFrame:
+    """``(i, q)``: squared norm below which shared users alone cannot make a pair similar."""
+    norms = sums.select(
+        "i", "sxx", (F.col("sxx") - F.col("sx") * F.col("sx") / users).alias("c")
+    ).filter(F.col("c") > 0)
+    widest = norms.agg(F.max(F.col("sxx") / F.col("c"))).scalar()
+    # a little less than the bound, so rounding cannot decide
+    share = F.lit(min_similarity**2 * (1 - 1e-6)) / widest
+    return norms.select("i", (share * F.col("c")).alias("q"))
+
+
 def item_similarity(
     ratings: DataFrame,
     min_similarity: float = MIN_SIMILARITY,
@@ -178,9 +207,10 @@ def item_similarity(
     ratings = ratings.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
     # One pass tells the number of users (all rated users count, also those who rated no
     # popular item) and whether any is heavy: a single row.
-    users, busiest = (
-        row_counts(ratings, user)
-        .agg(F.count(F.lit(1)), F.coalesce(F.max("count"), F.lit(0)))
+    users, busiest, lowest = (
+        ratings.groupBy(user)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(rating).alias("low"))
+        .agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0)), F.min("low"))
         .first()
     )
     users = F.lit(float(users))
@@ -194,7 +224,10 @@ def item_similarity(
     spread = sums.select("i", "sx", (users * F.col("sxx") - F.col("sx") * F.col("sx")).alias("v"))
 
     heavy = busiest > heavy_user
-    pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user, heavy).filter(
+    budget = None
+    if heavy and min_similarity > 0 and (lowest is None or lowest >= 0):
+        budget = _norm_budget(sums, users, min_similarity)
+    pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user, heavy, budget).filter(
         F.col("k") >= min_cooccurrence
     )
     second = spread.select(

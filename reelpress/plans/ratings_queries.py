@@ -140,24 +140,19 @@ def popular_item_counts(t: Tables):
     return R.row_counts(S.only_popular(t.ratings, popular), "movie_id", alias="n")
 
 
-#: catalogue ids shown as matrix columns
-MATRIX_ITEMS = [1, 2, 3, 5, 8, 13]
-
-
 @query(
     "E6",
     "SELECT user_id, "
     + ", ".join(
-        f"round(coalesce(avg(CASE WHEN movie_id = {i} THEN rating END), 0), 6) AS item_{i}"
-        for i in MATRIX_ITEMS
+        f"round(coalesce(avg(CASE WHEN genre = '{name}' THEN rating END), 0), 6) AS {name}"
+        for name in GENRES
     )
-    + " FROM ratings GROUP BY user_id",
+    + f""" FROM ratings JOIN (SELECT movie_id, {_FIRST_FLAG} AS genre FROM items) g
+          USING (movie_id) WHERE genre IS NOT NULL GROUP BY user_id""",
 )
-def user_item_matrix(t: Tables):
-    matrix = R.rating_matrix(t.ratings, MATRIX_ITEMS)
-    return matrix.select(
-        "user_id", *(F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in MATRIX_ITEMS)
-    )
+def user_genre_matrix(t: Tables):
+    rated = t.ratings.join(R.first_flag(t.items).select("movie_id", "genre"), "movie_id")
+    return _rounded(R.rating_matrix(rated, GENRES, item="genre"), *GENRES)
 
 
 _CELLS = """cells AS (SELECT user_id, movie_id, avg(rating) AS x FROM ratings GROUP BY 1, 2)"""

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
+from pyspark.sql import functions as F
 
 from reelpress.operators import factors as ALS
 from reelpress.operators import ratings as R
@@ -60,13 +61,26 @@ def test_equals_brute_force(spark, seed, least, common):
 
 
 @pytest.mark.parametrize(
-    "seed, common, heavy_user", [(4, 1, 3), (5, 3, 9), (6, 8, 20), (7, 12, 3)]
+    "seed, least, common, heavy_user",
+    [(4, 0.0013, 1, 3), (5, 0.3, 1, 4), (6, 0.2, 8, 20), (7, 0.45, 2, 3), (8, -0.2, 3, 5)],
 )
-def test_heavy_users_change_nothing(spark, seed, common, heavy_user):
+def test_heavy_users_change_nothing(spark, seed, least, common, heavy_user):
     rows = random_rows(seed)
     ratings = spark.createDataFrame(rows, SCHEMA)
-    got = as_dict(S.item_similarity(ratings, 0.0013, common, heavy_user=heavy_user))
-    assert got == brute_force(rows, 0.0013, common)
+    got = as_dict(S.item_similarity(ratings, least, common, heavy_user=heavy_user))
+    assert got and got == brute_force(rows, least, common)
+
+
+def test_norm_budget_sets_users_aside(spark):
+    rows = random_rows(7)
+    cells = S._cells(spark.createDataFrame(rows, SCHEMA), "user_id", "movie_id", "rating")
+    sums = cells.groupBy("i").agg(
+        F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")
+    )
+    budget = S._norm_budget(sums, F.lit(40.0), 0.6)
+    by_count = S._flag_heavy(cells, 1, 3, None).filter("aside").count()
+    by_norm = S._flag_heavy(cells, 1, 3, budget).filter("aside").count()
+    assert by_count == 0 and by_norm > 0
 
 
 def test_constant_rating_has_no_pair(spark):

@@ -85,28 +85,36 @@ def nearest_success(
     id: str,
     ts: str = "ts",
     max_age_hours: int = UPSTREAM_MAX_AGE_HOURS,
+    salts: int = 1,
 ) -> DataFrame:
     """For every run the time of the latest upstream success at or before it, if fresh enough.
 
     An as-of join without a range join: both sides are laid on one time line, cut into
     stretches of ``max_age_hours``. An upstream row also enters the next stretch, so each
     stretch can be answered alone, and one busy key spreads over as many tasks as it has
-    stretches.
+    stretches. Where a single stretch of a key is too much for one task, ``salts`` spreads its
+    runs further, each part with all upstream times.
     """
     seconds = max_age_hours * 3600
     stretch = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000))
-    asked = runs.select(key, id, ts, stretch.alias("stretch"), F.lit(None).cast(
-        runs.schema[ts].dataType).alias("success_at"))
+    asked = runs.select(
+        key,
+        id,
+        ts,
+        stretch.alias("stretch"),
+        F.pmod(F.hash(id), F.lit(salts)).alias("salt"),
+        F.lit(None).cast(runs.schema[ts].dataType).alias("success_at"),
+    )
     given = upstream.select(
         key,
         F.lit(None).cast(runs.schema[id].dataType).alias(id),
         ts,
         F.explode(F.array(stretch, stretch + 1)).alias("stretch"),
         F.col(ts).alias("success_at"),
-    )
+    ).withColumn("salt", F.explode(F.array(*(F.lit(salt) for salt in range(salts)))))
     # at equal times the upstream row comes first
     line = (
-        Window.partitionBy(key, "stretch")
+        Window.partitionBy(key, "stretch", "salt")
         .orderBy(F.col(ts), F.col("success_at").isNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

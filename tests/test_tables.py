@@ -103,7 +103,8 @@ def test_freshness(spark, minutes, fresh):
     assert got == {"p": fresh, "r": False}
 
 
-def test_nearest_success(spark):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_nearest_success(spark, salts):
     day = dt.datetime(2024, 1, 1)
     at = lambda m: day + dt.timedelta(minutes=m)
     runs = spark.createDataFrame(
@@ -113,7 +114,8 @@ def test_nearest_success(spark):
     upstream = spark.createDataFrame(
         [("k", at(0)), ("k", at(30)), ("k", at(60)), ("x", at(61))], "k string, ts timestamp"
     )
-    got = {r.id: r.upstream_ts for r in W.nearest_success(runs, upstream, "k", "id").collect()}
+    found = W.nearest_success(runs, upstream, "k", "id", salts=salts)
+    got = {r.id: r.upstream_ts for r in found.collect()}
     assert got == {1: at(60), 2: None, 3: at(30), 4: None}
 
 

@@ -56,3 +56,52 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+ORACLE["op7_quality_rules"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+solid AS (
+    SELECT doc_id, line, regexp_replace(line, '[\x20\x09-\x0D]', '', 'g') AS solid,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM lines),
+failing AS (
+    SELECT doc_id, length(solid) AS size,
+           words > 0 AND (
+               len(regexp_extract_all(solid, '[#*$%&|<>{}\[\]\\^~=_@+/]')) > 0.1 * length(solid)
+            OR 2 * len(regexp_extract_all(line || ' ', '[!?][\x20\x09-\x0D]')) > words
+            OR words >= 5 AND regexp_matches(line, '\p{Lu}') AND NOT regexp_matches(line, '\p{Ll}')
+            OR len(regexp_extract_all(solid, '[|»«•·›‹]')) >= 3
+               AND 3 * len(regexp_extract_all(solid, '[|»«•·›‹]')) >= words
+            OR regexp_matches(lower(line), 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|uses cookies|use of cookies|accept cookies|enable javascript|javascript is disabled|lorem ipsum|click here to|sign up for our newsletter|powered by')
+           ) AS fails
+    FROM solid),
+losses AS (
+    SELECT doc_id, coalesce(sum(size) FILTER (fails), 0) AS lost, sum(size) AS size
+    FROM failing GROUP BY doc_id),
+repeats AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM solid WHERE words > 0 GROUP BY doc_id),
+word_lists AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+    SELECT doc_id, p, w[p : p + 4] AS win
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM word_lists)),
+again AS (
+    SELECT doc_id, p FROM windows
+    QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT q) AS n
+    FROM (SELECT doc_id, unnest(range(p, p + 5)) AS q FROM again) GROUP BY doc_id),
+base AS (
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           length(array_to_string(w, '')) AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(c.n, 0) AS n_repeat_words
+    FROM docs d JOIN word_lists USING (doc_id) LEFT JOIN repeats USING (doc_id)
+    LEFT JOIN covered c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 2 * lost <= size AS kept
+FROM base JOIN losses USING (doc_id)
+"""

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpress.llm import exact_dedup, line_dedup, simhash, url_filter
+from reelpress.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    packing,
+    quality,
+    simhash,
+    token_output,
+    url_filter,
+)
 from reelpress.llm.comparison_sql import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +54,17 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return byte_bpe.decode(byte_bpe.encode(docs)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        sha256("decoded").alias("decoded_sha256"),
+    )
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -56,7 +78,50 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.apply_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return exact_dedup.mark_duplicates(docs, keep="largest")
+
+
+@query
+def op9_chat_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    linked = chat.link_quotes(table(spark, folder, "conversations"))
+    return chat.in_reply_order(linked).select(
+        "conv_id", "turn", "role", "parent_turn", "thread_turn", "reply_depth", "n_quoted_lines",
+        sha256("own_text").alias("own_sha256"), sha256("formatted").alias("formatted_sha256"),
+    )
+
+
+@query
+def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    packed = token_output.packed_rows(table(spark, folder, "documents"))
+    return packed.select(
+        "sequence_id", "n_tokens", "doc_ids", "starts", "cu_seqlens",
+        F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
+    )

@@ -22,6 +22,9 @@ result column are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,6 @@ MIN_SHOUT = 5
 MAX_LOST = 0.5
 
 SPLIT = r"[\x20\x09-\x0D]+"
-BLANK = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 ODD_SYMBOLS = r"[#*$%&|<>{}\[\]\\^~=_@+/]"
 MARKED_WORD = r"[!?](?=[\x20\x09-\x0D]|$)"
@@ -70,21 +72,23 @@ def split_words(text: Column) -> Column:
 
 def count_of(text: Column, pattern: str) -> Column:
     """How many characters match a class."""
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+    return F.regexp_count(text, F.lit(pattern))
+
+
+def line_fails(line: Column, words: Column) -> Column:
+    """Whether a line of these words fails; phrases are looked for by ``has_phrase``."""
+    size, solid = F.size(words), F.length(F.array_join(words, ""))
+    symbols = count_of(line, ODD_SYMBOLS)
+    separators = count_of(line, SEPARATORS)
+    noisy = (symbols > MAX_SYMBOLS * solid) | (2 * count_of(line, MARKED_WORD) > size)
+    shouting = (size >= MIN_SHOUT) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
+    navigation = (separators >= 3) & (3 * separators >= size)
+    return (size > 0) & (noisy | shouting | navigation)
 
 
-def line_fails(line: Column) -> Column:
-    solid = F.regexp_replace(line, BLANK, "")
-    words = F.size(split_words(line))
-    symbols = count_of(solid, ODD_SYMBOLS)
-    marks = F.regexp_count(line, F.lit(MARKED_WORD))
-    separators = count_of(solid, SEPARATORS)
-    small = F.lower(line)
-    noisy = (symbols > MAX_SYMBOLS * F.length(solid)) | (2 * marks > words)
-    shouting = (words >= MIN_SHOUT) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
-    navigation = (separators >= 3) & (3 * separators >= words)
-    boilerplate = small.rlike("|".join(BOILERPLATE))
-    return (words > 0) & (noisy | shouting | navigation | boilerplate)
+def has_phrase(text: Column) -> Column:
+    """Whether a text, already in small letters, holds one of the boilerplate phrases."""
+    return reduce(or_, [F.contains(text, F.lit(phrase)) for phrase in BOILERPLATE])
 
 
 def _window_hashes(window: int = WINDOW) -> Column:
@@ -100,33 +104,53 @@ def _window_hashes(window: int = WINDOW) -> Column:
 def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the base statistics, the clean text, the share lost and the verdict."""
     plain = docs.withColumn("__text", text_of(text))
-    lines = F.split("__text", "\n", -1)
-    with_word = F.filter("__lines", lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
+    parsed = F.transform(
+        F.split("__text", "\n", -1),
+        lambda s: F.struct(s.alias("line"), split_words(s).alias("words")),
+    )
+    own = F.transform(F.filter("__lines", lambda x: F.size(x["words"]) > 0), lambda x: x["line"])
+    # phrases are rare: only in a document that has one are its lines searched
+    good = F.filter(
+        "__lines",
+        lambda x: ~(
+            line_fails(x["line"], x["words"])
+            | F.when(F.col("__phrase"), has_phrase(F.lower(x["line"]))).otherwise(F.lit(False))
+        ),
+    )
     staged = (
-        plain.withColumns({"__words": split_words(F.col("__text")), "__lines": lines})
+        plain.withColumns({"__lines": parsed, "__small": F.lower("__text")})
+        .withColumns(
+            {
+                "__words": F.flatten(F.transform("__lines", lambda x: x["words"])),
+                "__own": own,
+                "__phrase": has_phrase(F.col("__small")),
+            }
+        )
         .withColumns(
             {
                 "__n": F.size("__words").cast("long"),
                 "__chars": F.length(F.array_join("__words", "")).cast("long"),
                 "__wh": F.transform("__words", lambda w: F.xxhash64(w)),
-                "__own": with_word,
-                "__good": F.filter("__lines", lambda s: ~line_fails(s)),
+                "__good": good,
+                "__dup": (F.size("__own") - F.size(F.array_distinct("__own"))).cast("long"),
             }
         )
         .withColumns(
             {
                 "__win": _window_hashes(),
-                "__dup": (F.size("__own") - F.size(F.array_distinct("__own"))).cast("long"),
-                "__clean": F.array_join("__good", "\n"),
+                "__clean": F.array_join(F.transform("__good", lambda x: x["line"]), "\n"),
+                "__left": F.aggregate(
+                    "__good", F.lit(0), lambda a, x: a + F.length(F.array_join(x["words"], ""))
+                ),
             }
         )
-        .drop("__words", "__lines", "__wh", "__own", "__good")
+        .drop("__words", "__lines", "__wh", "__own", "__good", "__small", "__phrase")
         .withColumn("__again", F.size(F.array_distinct("__win")) < F.size("__win"))
         .withColumn(
             "__placed",
             F.when(
                 F.col("__again"),
-                F.array_sort(
+                F.sort_array(
                     F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
                 ),
             ),
@@ -134,12 +158,7 @@ def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("__at", _repeated_places())
         .withColumn("__rep", F.coalesce(_union_length("__at"), F.lit(0)).cast("long"))
         .drop("__win", "__again", "__placed", "__at")
-        .withColumns(
-            {
-                "__sym": count_of(F.col("__text"), SYMBOLS).cast("long"),
-                "__left": F.length(F.regexp_replace("__clean", BLANK, "")),
-            }
-        )
+        .withColumn("__sym", count_of(F.col("__text"), SYMBOLS).cast("long"))
         .withColumn(
             "__lost",
             F.when(F.col("__chars") > 0, 1 - F.col("__left") / F.col("__chars")).otherwise(F.lit(0.0)),

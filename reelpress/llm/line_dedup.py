@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelpress.llm.common import BLANKS, lower_ascii, text_of, without
+from reelpress.session import use_checkpoints
 
 RESULT = ("kept_text", "n_lines", "n_dropped")
 
@@ -35,6 +36,7 @@ def dedup_lines(
     """``docs`` with kept_text, n_lines (before) and n_dropped."""
     if min_docs < 2:
         raise ValueError("min_docs is at least 2")
+    use_checkpoints(docs.sparkSession)
     lines = F.split(text_of(text), "\n", -1)
     # two rows with one id but different texts keep apart
     row_key = {"__id": F.col(doc_id), "__th": F.xxhash64(text_of(text))}
@@ -51,7 +53,8 @@ def dedup_lines(
             F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
         )
     )
-    shared = _shared(held, min_docs)
+    # written out, so that the join below has an exchange on either side and can split hot hashes
+    shared = _shared(held, min_docs).checkpoint()
     drops = (
         held.join(shared, ["h1", "h2"])
         .where(~F.col("__id").eqNullSafe(F.col("first_id")))

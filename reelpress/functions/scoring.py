@@ -13,10 +13,15 @@ DIGITS = 3
 
 
 def scale_score(polarity: Column, noise: Column | float = 0.0) -> Column:
-    """Polarity in [-1, 1] as a score in [0, 1], clamped and rounded half up to 3 digits."""
+    """Polarity in [-1, 1] as a score in [0, 1], clamped and rounded half up to 3 digits.
+
+    NULL polarity or noise gives NULL.
+    """
     noise = noise if isinstance(noise, Column) else F.lit(noise).cast("decimal(18,12)")
     base = (polarity.cast("decimal(18,12)") + F.lit(1)) / F.lit(2)
-    bounded = F.least(F.lit(1), F.greatest(F.lit(0), base + noise))
+    # least() and greatest() skip NULL
+    raw = base + noise
+    bounded = F.when(raw.isNotNull(), F.least(F.lit(1), F.greatest(F.lit(0), raw)))
     return F.round(bounded, DIGITS).cast("double")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelpress.operators.similarity import both_directions, co_rated_pairs
@@ -15,6 +15,27 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
+def dense_ids(df: DataFrame, column: str, out: str, buckets: int = 1024) -> DataFrame:
+    """``(column, out)``: numbers from 0, without gaps, for the distinct values of a column.
+
+    Values are numbered within hash buckets and then shifted by the sizes of the buckets
+    before theirs, so no task sees more than one bucket's share of them.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    dealt = values.withColumn("_bucket", F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int"))
+    within = Window.partitionBy("_bucket").orderBy(column)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket
+    shifts = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
+    )
+    return (
+        dealt.withColumn("_place", F.row_number().over(within))
+        .join(shifts, "_bucket")
+        .select(column, (F.col("_shift") + F.col("_place") - 1).alias(out))
+    )
+
+
 def item_factors(
     ratings: DataFrame,
     rank: int = 10,
@@ -25,13 +46,22 @@ def item_factors(
     item: str = "movie_id",
     rating: str = "rating",
 ) -> DataFrame:
-    """``(item, features)``. Long iterations cut their lineage in the checkpoint folder."""
+    """``(item, features)``. Long iterations cut their lineage in the checkpoint folder.
+
+    The solver wants ids in the range of int, so users and items get dense numbers first.
+    """
     use_checkpoints(ratings.sparkSession)
+    users = dense_ids(ratings, user, "_u")
+    items = dense_ids(ratings, item, "_i").checkpoint()
+    numbered = ratings.join(users, user).join(items, item).select(
+        F.col("_u").cast("int").alias("_u"), F.col("_i").cast("int").alias("_i"), rating
+    )
     als = ALS(
-        rank=rank, maxIter=iterations, regParam=regularisation, seed=seed, userCol=user,
-        itemCol=item, ratingCol=rating, checkpointInterval=5,
+        rank=rank, maxIter=iterations, regParam=regularisation, seed=seed, userCol="_u",
+        itemCol="_i", ratingCol=rating, checkpointInterval=5,
     )
-    return als.fit(ratings).itemFactors.select(F.col("id").alias(item), "features")
+    found = als.fit(numbered).itemFactors
+    return found.join(items, found["id"] == items["_i"]).select(item, "features")
 
 
 def factor_similarity(
@@ -50,7 +80,7 @@ def factor_similarity(
     cells = ratings.select(
         F.col(user).alias("u"), F.col(item).alias("i"), F.lit(1.0).alias("x")
     ).distinct()
-    pairs = co_rated_pairs(cells, min_cooccurrence).filter(F.col("k") >= min_cooccurrence)
+    pairs = co_rated_pairs(cells, min_cooccurrence)
     first = factors.select(F.col(item).alias("i"), F.col("features").alias("f"))
     second = factors.select(F.col(item).alias("j"), F.col("features").alias("g"))
     f, g = F.col("f"), F.col("g")

@@ -17,24 +17,24 @@ from reelpress.functions import text as X
 _UNIT = 1_000_000
 
 
-def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame) -> DataFrame:
-    """``(id, polarity, subjectivity, mean_polarity, hits)`` for every distinct id.
-
-    Articles without a hit get 0. Tokens are matched and pre-aggregated where their article
-    was read: with a lexicon small enough for Spark to broadcast, only one row per article is
-    shuffled.
+def score_texts(df: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
+    """``df``, without its column ``text``, with polarity, subjectivity, mean_polarity and hits.
+
+    Rows are scored by themselves: it does not matter whether they have ids or repeat. Give
+    the needed columns only, for they go along with the tokens. Tokens are matched and summed
+    up where their row was read: with a lexicon that Spark broadcasts one row per row of
+    ``df`` is shuffled. With a larger one the tokens are; a frequent word has one row on the
+    lexicon's side, so its partition can be split. Rows without a hit get 0.
     """
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    # The empty word is added to every article and to the lexicon, there without values: the
-    # inner join then drops all other tokens early and still keeps articles without a hit.
-    tokens = df.select(F.col(id), F.explode(F.concat(words, F.array(F.lit("")))).alias("word"))
+    words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+")
     known = lexicon.filter(F.col("word") != "").select(
-        "word",
-        F.round(F.col("polarity") * _UNIT).cast("bigint").alias("p"),
-        F.round(F.col("subjectivity") * _UNIT).cast("bigint").alias("s"),
+        F.col("word").alias("_word"),
+        F.round(F.col("polarity") * _UNIT).cast("bigint").alias("_p"),
+        F.round(F.col("subjectivity") * _UNIT).cast("bigint").alias("_s"),
     )
-    no_hit = lexicon.sparkSession.range(1).selectExpr(
-        "'' AS word", "CAST(NULL AS BIGINT) AS p", "CAST(NULL AS BIGINT) AS s"
+    columns = [F.col(f"`{name}`") for name in df.columns if name != text]
+    tokens = df.withColumn("_row", F.monotonically_increasing_id()).select(
+        *columns, "_row", F.explode(words).alias("_word")
     )
 
     def mean(total: str) -> Column:
@@ -42,20 +42,25 @@ def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame)
         return F.when(F.col("hits") > 0, exact).otherwise(0).cast("decimal(18,12)")
 
     return (
-        tokens.join(known.unionByName(no_hit), "word")
-        .groupBy(id)
-        .agg(F.sum("p").alias("p"), F.sum("s").alias("s"), F.count("p").alias("hits"))
-        .select(id, mean("p").alias("mean_polarity"), mean("s").alias("mean_s"), "hits")
+        tokens.join(known, "_word", "left")
+        .groupBy("_row", *columns)
+        .agg(F.sum("_p").alias("_p"), F.sum("_s").alias("_s"), F.count("_p").alias("hits"))
+        .select(*columns, mean("_p").alias("mean_polarity"), mean("_s").alias("_mean"), "hits")
         .select(
-            id,
+            *columns,
             F.round("mean_polarity", C.DIGITS).cast("double").alias("polarity"),
-            F.round("mean_s", C.DIGITS).cast("double").alias("subjectivity"),
+            F.round("_mean", C.DIGITS).cast("double").alias("subjectivity"),
             "mean_polarity",
             "hits",
         )
     )
 
 
+def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame) -> DataFrame:
+    """``(id, polarity, subjectivity, mean_polarity, hits)`` for every row."""
+    return score_texts(df.select(F.col(id), text.alias("_text")), "_text", lexicon)
+
+
 def sentiment_records(
     articles: DataFrame,
     lexicon: DataFrame,
@@ -63,44 +68,45 @@ def sentiment_records(
     id: str = "content_hash",
     noise_seed: str | None = None,
 ) -> DataFrame:
-    """One scored record per article, missing fields replaced by their defaults."""
-    scores = lexicon_sentiment(
-        articles, id, X.scoring_text(F.col("title"), F.col("content")), lexicon
-    )
-    noise = C.keyed_noise(F.col(id), noise_seed) if noise_seed else 0.0
+    """One scored record per article, missing fields replaced by their defaults.
+
+    Every article is scored by its own text, with or without an id; articles without one draw
+    the noise of the id ``unknown``, which their record bears.
+    """
+    noise = C.keyed_noise(F.col("article_id"), noise_seed) if noise_seed else 0.0
 
     def given(name: str, default=None) -> Column:
         if name not in articles.columns:
             return F.lit(default)
         return F.coalesce(name, F.lit(default)) if default is not None else F.col(name)
 
-    meta = articles.select(
-        F.col(id),
-        given("keyword", "unknown").alias("keyword"),
-        given("source", "unknown").alias("source"),
-        given("title", "").alias("title"),
-        given("url", "").alias("url"),
-        *(
-            given(name).cast("string").alias(name)
-            for name in (
-                "s3_raw_content_path",
-                "s3_processed_content_path",
-                "s3_raw_data_path",
-                "s3_processed_data_path",
-            )
-        ),
+    meta = {
+        "keyword": given("keyword", "unknown"),
+        "source": given("source", "unknown"),
+        "title": given("title", ""),
+        "url": given("url", ""),
+    } | {
+        name: given(name).cast("string")
+        for name in (
+            "s3_raw_content_path",
+            "s3_processed_content_path",
+            "s3_raw_data_path",
+            "s3_processed_data_path",
+        )
+    }
+    named = articles.select(
+        F.coalesce(F.col(id).cast("string"), F.lit("unknown")).alias("article_id"),
+        *[column.alias(name) for name, column in meta.items()],
         given("content_length", 0).alias("content_length"),
+        X.scoring_text(F.col("title"), F.col("content")).alias("_text"),
     )
-    return meta.join(scores, id, "left").select(
-        F.coalesce(F.col(id), F.lit("unknown")).alias("article_id"),
-        *[name for name in meta.columns if name not in (id, "content_length")],
+    return score_texts(named, "_text", lexicon).select(
+        "article_id",
+        *meta,
         F.coalesce(
             C.scale_score(F.col("mean_polarity"), noise), F.lit(C.NEUTRAL_SCORE)
         ).alias("mock_sentiment_score"),
-        F.struct(
-            F.coalesce("polarity", F.lit(0.0)).alias("polarity"),
-            F.coalesce("subjectivity", F.lit(0.0)).alias("subjectivity"),
-        ).alias("textblob_sentiment"),
+        F.struct("polarity", "subjectivity").alias("textblob_sentiment"),
         run_time.alias("analysis_timestamp"),
         "content_length",
     )

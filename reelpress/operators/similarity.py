@@ -5,21 +5,15 @@ i and j is ``(n*Sxy - Sx_i*Sx_j) / sqrt((n*Sxx_i - Sx_i**2) * (n*Sxx_j - Sx_j**2
 ratings add nothing to any of the sums, so the sparse rows give the exact value and no matrix
 is ever built.
 
-Pairs come from users who rated both items. What keeps that join in hand:
-
-* Items below the support threshold leave before anything is shuffled.
-* A user with more than ``heavy_user`` items is *heavy*. Heavy users are ordered by how many
-  items they rated, and each item sets aside its ``min_cooccurrence - 1`` heaviest ones.
-  Suppose two items share only users that the first has set aside: then they share at most
-  ``min_cooccurrence - 1`` of them and cannot qualify. So every qualifying pair shares a user
-  that neither has set aside, and the pair join may leave the rest out. The few users who
-  rated nearly everything never expand into pairs.
-* An item may set aside more of its heaviest users, as long as their part of its squared norm
-  is small. With ``Q`` that part and ``c = Sxx - Sx**2 / n``, two items that share only such
-  users have a correlation of at most ``sqrt(Q_i / c_i * max_j(Sxx_j / c_j))``, ratings not
-  being negative; below the similarity threshold the pair cannot qualify either.
-* What was left out is added afterwards, for the pairs that exist: nothing is approximated.
-* Heavy users that remain are spread over several join partitions by salt.
+One plan serves all sizes. Ratings are summed up per (user, item), partial sums first, and dealt
+by both, so neither a popular item nor a busy user meets in one task. Item sums, the number of
+users and the pairs all start from that one exchange.
+
+Pairs come from users who rated both items. A user's items are cut into blocks of about
+``BLOCK_ITEMS`` by the item's hash, and every two blocks of a user meet in a join key of their own: an
+item goes to as many keys as its user has blocks, a key holds at most two blocks, and the
+pairs of a user who rated everything are spread over all tasks. The blocks follow from the user's number of
+items alone; users with one block, nearly all, are not repeated at all.
 """
 
 from __future__ import annotations
@@ -35,19 +29,15 @@ REPORT_MIN_SIMILARITY, REPORT_MIN_COOCCURRENCE = 0.7, 30
 TOP_SIMILAR = 10
 # -----------------------------------------------------------------------------------------
 
-#: items per user above which a user is treated as heavy
-HEAVY_USER = 2000
+#: items of one user that meet in one join key, about
+BLOCK_ITEMS = 500
 
 
 def popular_items(ratings: DataFrame, at_least: int, item: str = "movie_id") -> DataFrame:
-    """Items with enough rating rows (rows, not distinct users)."""
+    """Items with enough rating rows (rows, not distinct users), counted in partial sums."""
     return min_support(row_counts(ratings, item), "count", at_least).select(item)
 
 
-def only_popular(df: DataFrame, popular: DataFrame, item: str = "movie_id") -> DataFrame:
-    return df.join(popular, item, "left_semi")
-
-
 def passes_similarity(score, threshold: float):
     """True for a real score at or above the threshold. NaN sorts above every number."""
     return ~F.isnan(score) & (score >= threshold)
@@ -66,124 +56,79 @@ def both_directions(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _cells(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
-    """One row per user and item with the mean rating ``x``."""
-    return ratings.groupBy(F.col(user).alias("u"), F.col(item).alias("i")).agg(
-        F.avg(rating).alias("x")
-    )
+    """One row per user and item with the mean rating ``x`` and the number ``n`` of rows.
 
-
-def _flag_heavy(
-    cells: DataFrame, min_cooccurrence: int, heavy_user: int, budget: DataFrame | None
-) -> DataFrame:
-    """Adds ``salts`` (join partitions of the user) and ``aside`` (left out of the pair join).
-
-    ``budget`` may hold ``(i, q)``: how much of its squared norm an item can set aside.
+    The condition at the end holds for every row. It keeps both sums in the plan wherever the
+    cells are used, so that all uses share one exchange instead of reading the ratings again.
     """
-    heavy = (
-        cells.groupBy("u")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .filter(F.col("m") > heavy_user)
-    )
-    marked = cells.join(heavy, "u", "left")
-    heavy_cells = marked.filter(F.col("m").isNotNull())
-    heaviest = Window.partitionBy("i").orderBy(F.desc("m"), F.desc("u"))
-    aside = F.row_number().over(heaviest) < min_cooccurrence
-    if budget is not None:
-        heavy_cells = heavy_cells.join(budget, "i", "left")
-        so_far = heaviest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        norm = F.sum(F.col("x") * F.col("x")).over(so_far)
-        aside = aside | F.coalesce(norm < F.col("q"), F.lit(False))
-    of_heavy = heavy_cells.select(
-        "u",
-        "i",
-        "x",
-        F.ceil(F.col("m") / F.lit(heavy_user)).cast("int").alias("salts"),
-        aside.alias("aside"),
-    )
-    of_others = marked.filter(F.col("m").isNull()).select(
-        "u", "i", "x", F.lit(1).alias("salts"), F.lit(False).alias("aside")
+    known = ratings.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
+    cells = known.groupBy(F.col(user).alias("u"), F.col(item).alias("i")).agg(
+        F.avg(rating).alias("x"), F.count(F.lit(1)).alias("n")
     )
-    return of_others.unionByName(of_heavy)
+    return cells.filter(F.col("n") + F.coalesce(F.abs("x"), F.lit(0.0)) > 0)
 
 
-def _products(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Number and sum of products of the common raters of every pair ``i < j``."""
-    return (
-        left.join(right, on)
-        .filter(F.col("i") < F.col("j"))
-        .groupBy("i", "j")
-        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+def _item_sums(cells: DataFrame, at_least: int) -> DataFrame:
+    """``(i, sx, sxx)`` of the items with enough rating rows."""
+    sums = cells.groupBy("i").agg(
+        F.sum("n").alias("n"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")
     )
+    return sums.filter(F.col("n") >= at_least).drop("n")
 
 
-def has_heavy_users(cells: DataFrame, heavy_user: int, user: str = "u") -> bool:
-    """Whether any user has more than ``heavy_user`` rows (an action, but one count per user)."""
-    return not row_counts(cells, user).filter(F.col("count") > heavy_user).isEmpty()
+def _user_count(cells: DataFrame):
+    """Number of users, those without a popular item among them, as a value of the query."""
+    return cells.select("u").distinct().agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
 
 
 def co_rated_pairs(
-    cells: DataFrame,
-    min_cooccurrence: int,
-    heavy_user: int = HEAVY_USER,
-    heavy: bool | None = None,
-    budget: DataFrame | None = None,
+    cells: DataFrame, min_cooccurrence: int, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
-    """``(i, j, k, sxy)`` with ``i < j`` for every pair that may reach ``min_cooccurrence``
-    (and, with a ``budget`` of the items, the similarity it was made for).
+    """``(i, j, k, sxy)`` with ``i < j``: common raters and sum of products of every pair of
+    items with at least ``min_cooccurrence`` common raters.
 
-    ``cells`` holds one row ``(u, i, x)`` per user and item. ``heavy`` tells whether there are
-    heavy users, and is looked up if not given; without any, the plain join does it all.
+    ``cells`` holds one row ``(u, i, x)`` per user and item.
     """
-    if heavy is None:
-        heavy = has_heavy_users(cells, heavy_user)
-    if not heavy:
-        # A stated partition count: the join multiplies rows, so its input must not be packed
-        # into few partitions by its size in bytes. Both sides read the same exchange.
-        parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cells = cells.repartition(parts, "u")
-        second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"))
-        return _products(cells, second, ["u"])
-
-    cells = _flag_heavy(cells, min_cooccurrence, heavy_user, budget)
-    second = cells.select("u", F.col("i").alias("j"), F.col("x").alias("y"), "salts", "aside")
-    kept = cells.filter(~F.col("aside"))
-    salted = kept.select("u", "i", "x", F.expr("pmod(hash(i), salts)").alias("salt"))
-    every_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    kept_second = second.filter(~F.col("aside")).select("u", "j", "y", every_salt)
-    found = _products(salted, kept_second, ["u", "salt"])
-
-    # the products left out above, for the pairs found: the user is set aside by i, or by j only
-    pairs = found.select("i", "j")
-    by_first = pairs.join(cells.filter("aside").select("u", "i", "x"), "i").join(
-        second.select("u", "j", "y"), ["u", "j"]
+    busy = (
+        cells.groupBy("u")
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("blocks"))
+        .filter(F.col("blocks") > 1)
+    )
+    blocks = F.coalesce("blocks", F.lit(1))
+    mine = F.pmod(F.xxhash64("i"), blocks).cast("int")
+    # the keys (low, high) of the item's block with every block of its user
+    keys = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda b: F.struct(F.least(b, mine).alias("low"), F.greatest(b, mine).alias("high")),
     )
-    by_second = pairs.join(second.filter("aside").select("u", "j", "y"), "j").join(
-        kept.select("u", "i", "x"), ["u", "i"]
+    dealt = (
+        cells.join(busy, "u", "left")
+        .select("u", "i", "x", mine.alias("block"), F.inline(keys))
     )
-    rest = (
-        by_first.select("i", "j", "x", "y")
-        .unionByName(by_second.select("i", "j", "x", "y"))
+    second = dealt.select(
+        "u", "low", "high", F.col("i").alias("j"), F.col("x").alias("y"), F.col("block").alias("other")
+    )
+    # of two items of one block only their own key counts, else each pair of blocks would
+    same_block_elsewhere = (F.col("block") == F.col("other")) & (F.col("low") != F.col("high"))
+    return (
+        dealt.join(second, ["u", "low", "high"])
+        .filter((F.col("i") < F.col("j")) & ~same_block_elsewhere)
         .groupBy("i", "j")
-        .agg(F.count(F.lit(1)).alias("k2"), F.sum(F.col("x") * F.col("y")).alias("sxy2"))
+        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+        .filter(F.col("k") >= min_cooccurrence)
     )
-    zero = F.lit(0)
-    return found.join(rest, ["i", "j"], "left").select(
-        "i",
-        "j",
-        (F.col("k") + F.coalesce("k2", zero)).alias("k"),
-        (F.col("sxy") + F.coalesce("sxy2", zero)).alias("sxy"),
+
+
+def _correlation(users, sxy: str, sx: str, v: str, sy: str, w: str):
+    return F.try_divide(
+        users * F.col(sxy) - F.col(sx) * F.col(sy), F.sqrt(F.col(v) * F.col(w))
     )
 
 
-def _norm_budget(sums: DataFrame, users, min_similarity: float) -> DataFrame:
-    """``(i, q)``: squared norm below which shared users alone cannot make a pair similar."""
-    norms = sums.select(
-        "i", "sxx", (F.col("sxx") - F.col("sx") * F.col("sx") / users).alias("c")
-    ).filter(F.col("c") > 0)
-    widest = norms.agg(F.max(F.col("sxx") / F.col("c"))).scalar()
-    # a little less than the bound, so rounding cannot decide
-    share = F.lit(min_similarity**2 * (1 - 1e-6)) / widest
-    return norms.select("i", (share * F.col("c")).alias("q"))
+def _spread(sums: DataFrame, users) -> DataFrame:
+    return sums.select(
+        "i", "sx", (users * F.col("sxx") - F.col("sx") * F.col("sx")).alias("v")
+    )
 
 
 def item_similarity(
@@ -193,7 +138,7 @@ def item_similarity(
     user: str = "user_id",
     item: str = "movie_id",
     rating: str = "rating",
-    heavy_user: int = HEAVY_USER,
+    block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """Pairs of popular items that correlate and were rated together often enough.
 
@@ -204,45 +149,22 @@ def item_similarity(
     if min_cooccurrence < 1:
         raise ValueError("min_cooccurrence must be at least 1")
     other = f"similar_{item}"
-    ratings = ratings.filter(F.col(user).isNotNull() & F.col(item).isNotNull())
-    # One pass tells the number of users (all rated users count, also those who rated no
-    # popular item) and whether any is heavy: a single row.
-    users, busiest, lowest = (
-        ratings.groupBy(user)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(rating).alias("low"))
-        .agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0)), F.min("low"))
-        .first()
-    )
-    users = F.lit(float(users))
-    # Items without support leave before the ratings are shuffled. Item sums and pairs then
-    # share one exchange by (user, item).
-    popular = popular_items(ratings, min_cooccurrence, item)
-    cells = _cells(only_popular(ratings, popular, item), user, item, rating)
-    sums = cells.groupBy("i").agg(
-        F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")
-    )
-    spread = sums.select("i", "sx", (users * F.col("sxx") - F.col("sx") * F.col("sx")).alias("v"))
-
-    heavy = busiest > heavy_user
-    budget = None
-    if heavy and min_similarity > 0 and (lowest is None or lowest >= 0):
-        budget = _norm_budget(sums, users, min_similarity)
-    pairs = co_rated_pairs(cells, min_cooccurrence, heavy_user, heavy, budget).filter(
-        F.col("k") >= min_cooccurrence
-    )
+    cells = _cells(ratings, user, item, rating)
+    users = _user_count(cells)
+    spread = _spread(_item_sums(cells, min_cooccurrence), users)
+    # an inner join: a semi-join would be moved below the sums
+    popular = cells.join(spread.select("i"), "i")
+    pairs = co_rated_pairs(popular, min_cooccurrence, block_items)
     second = spread.select(
         F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("v").alias("w")
     )
-    score = F.try_divide(
-        users * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(F.col("v") * F.col("w"))
-    )
     scored = (
         pairs.join(spread, "i")
         .join(second, "j")
         .select(
             F.col("i").alias(item),
             F.col("j").alias(other),
-            score.alias("similarity_score"),
+            _correlation(users, "sxy", "sx", "v", "sy", "w").alias("similarity_score"),
             F.col("k").alias("cooccurrence_count"),
         )
         .filter(passes_similarity(F.col("similarity_score"), min_similarity))
@@ -250,6 +172,47 @@ def item_similarity(
     return both_directions(scored, item, other)
 
 
+def similar_to_item(
+    ratings: DataFrame,
+    anchor: DataFrame,
+    min_similarity: float = MIN_SIMILARITY,
+    min_cooccurrence: int = MIN_COOCCURRENCE,
+    user: str = "user_id",
+    item: str = "movie_id",
+    rating: str = "rating",
+) -> DataFrame:
+    """What ``item_similarity`` has on one item: the row ``anchor`` holds its id.
+
+    Only the ratings of the anchor's raters are looked at, so the work is linear in them; no
+    other pair is formed.
+    """
+    other = f"similar_{item}"
+    cells = _cells(ratings, user, item, rating)
+    users = _user_count(cells)
+    spread = _spread(_item_sums(cells, min_cooccurrence), users)
+    wanted = anchor.select(F.col(item).alias("i"))
+    raters = cells.join(wanted, "i", "left_semi").select("u", F.col("x").alias("y"))
+    shared = (
+        cells.join(raters, "u")
+        .groupBy("i")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+        .filter(F.col("k") >= min_cooccurrence)
+    )
+    mine = spread.join(wanted, "i", "left_semi")
+    first = lambda name: mine.agg(F.max(name)).scalar()
+    return (
+        shared.join(spread, "i")
+        .join(wanted, "i", "left_anti")
+        .withColumns({"_sy": first("sx"), "_w": first("v")})
+        .select(
+            F.col("i").alias(other),
+            _correlation(users, "sxy", "sx", "v", "_sy", "_w").alias("similarity_score"),
+            F.col("k").alias("cooccurrence_count"),
+        )
+        .filter(passes_similarity(F.col("similarity_score"), min_similarity))
+    )
+
+
 def item_by_title(
     items: DataFrame, wanted: str, item: str = "movie_id", title: str = "title"
 ) -> DataFrame:
@@ -267,13 +230,41 @@ def similar_items(
     item: str = "movie_id",
     title: str = "title",
 ) -> DataFrame:
-    """The ``n`` items most similar to the one called ``wanted``; empty if there is none."""
-    other = f"similar_{item}"
+    """The ``n`` items most similar to the one called ``wanted``, of a table of all pairs;
+    empty if there is none."""
     anchor = item_by_title(items, wanted, item, title)
+    mine = similarities.join(anchor, item, "left_semi").drop(item)
+    return most_similar(mine, items, n, item, title)
+
+
+def items_like(
+    ratings: DataFrame,
+    items: DataFrame,
+    wanted: str,
+    n: int = TOP_SIMILAR,
+    min_similarity: float = MIN_SIMILARITY,
+    min_cooccurrence: int = MIN_COOCCURRENCE,
+    item: str = "movie_id",
+    title: str = "title",
+) -> DataFrame:
+    """The same from the ratings, without the table of all pairs."""
+    anchor = item_by_title(items, wanted, item, title)
+    mine = similar_to_item(ratings, anchor, min_similarity, min_cooccurrence, item=item)
+    return most_similar(mine, items, n, item, title)
+
+
+def most_similar(
+    mine: DataFrame,
+    items: DataFrame,
+    n: int = TOP_SIMILAR,
+    item: str = "movie_id",
+    title: str = "title",
+) -> DataFrame:
+    """The first ``n`` of one item's similar items, with their titles; ties by id."""
+    other = f"similar_{item}"
     names = items.select(F.col(item).alias(other), title)
     return (
-        similarities.join(anchor, item, "left_semi")
-        .join(names, other)
+        mine.join(names, other)
         .select(other, title, "similarity_score", "cooccurrence_count")
         .orderBy(F.desc("similarity_score"), F.asc(other))
         .limit(n)

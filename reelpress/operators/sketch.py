@@ -1,24 +1,29 @@
 """Approximate membership as a table: one bitmap row per group and 32768 bits.
 
-The sketch is an ordinary DataFrame ``(group, bucket, bitmap, n_bits)``. Building it is a
-partial aggregate of fixed-size bitmaps, merging two is the same aggregate again, and probing
-joins a few kilobytes per group instead of the keys themselves.
+The sketch is an ordinary DataFrame ``(group, bucket, bitmap)``. Building it is a partial
+aggregate of fixed-size bitmaps, merging two is the same aggregate again, and probing joins
+each bit position with its bitmap, whatever the sketch's size.
+
+``bits`` is a number, or a column such as ``sketch_bits`` gives, for sketches that grow with
+what they hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelpress.functions.sketch import SKETCH_BITS, positions
-from reelpress.operators.dedup import drop_seen
+from reelpress.functions.sketch import SKETCH_BITS, SKETCH_ERROR, positions, sized_bits
+from reelpress.operators.dedup import drop_seen, first_per_key
 
 #: bits of one bitmap row, as Spark's bitmap functions lay them out
 BUCKET_BITS = 32768
 
 
 def bit_positions(
-    items: DataFrame, group: str, item: Column, bits: int = SKETCH_BITS, hashes: int | None = None
+    items: DataFrame, group: str, item: Column, bits: int | Column = SKETCH_BITS, hashes: int | None = None
 ) -> DataFrame:
     """Distinct set bits, one row each."""
     return items.select(
@@ -27,7 +32,7 @@ def bit_positions(
 
 
 def build_sketch(
-    items: DataFrame, group: str, item: Column, bits: int = SKETCH_BITS, hashes: int | None = None
+    items: DataFrame, group: str, item: Column, bits: int | Column = SKETCH_BITS, hashes: int | None = None
 ) -> DataFrame:
     """The sketch of the items. Repeated bits go map-side, before bitmaps are put together."""
     # Spark numbers bitmap positions from 1
@@ -63,27 +68,13 @@ def might_contain(
     group: str,
     item: Column,
     out: str = "seen",
-    bits: int = SKETCH_BITS,
+    bits: int | Column = SKETCH_BITS,
     hashes: int | None = None,
 ) -> DataFrame:
     """Adds ``out``: False only if the item was certainly never added to its group."""
-    spots = positions(item, bits, hashes)
-    if bits > BUCKET_BITS:
-        return _might_contain_large(items, sketch, group, item, spots, out)
-    bitmaps = sketch.filter(F.col("bucket") == 1).select(group, "bitmap")
-    hit = F.forall(spots, lambda p: _bit_is_set(F.col("bitmap"), p.cast("int")))
-    return (
-        items.join(bitmaps, group, "left")
-        .withColumn(out, F.col("bitmap").isNotNull() & F.coalesce(hit, F.lit(False)))
-        .drop("bitmap")
-    )
-
-
-def _might_contain_large(items, sketch, group, item, spots, out) -> DataFrame:
-    """For sketches of several bitmap rows per group: each position joins its own row."""
     named = items.withColumn("_item", item)
     probes = (
-        named.select(group, "_item", F.explode(spots).alias("p"))
+        named.select(group, "_item", F.explode(positions(F.col("_item"), bits, hashes)).alias("p"))
         .distinct()
         .withColumn("bucket", F.bitmap_bucket_number(F.col("p") + 1))
     )
@@ -94,7 +85,15 @@ def _might_contain_large(items, sketch, group, item, spots, out) -> DataFrame:
         .groupBy(group, "_item")
         .agg(F.bool_and(is_set).alias(out))
     )
-    return named.join(found, [group, "_item"]).select(*items.columns, out)
+    return named.join(found, [group, "_item"], "left").select(
+        *items.columns, F.coalesce(out, F.lit(False)).alias(out)
+    )
+
+
+def sketch_bits(tracked: DataFrame, error: float = SKETCH_ERROR) -> Column:
+    """Bits of a sketch that can hold all rows of ``tracked``, counted within the query."""
+    counted = tracked.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(sized_bits(F.col("n"), error)).scalar()
 
 
 def unseen_urls(
@@ -103,14 +102,20 @@ def unseen_urls(
     sketch: DataFrame | None = None,
     group: str = "stock_name",
     url: str = "url",
+    order: Sequence[str] | None = None,
+    bits: int | Column = SKETCH_BITS,
 ) -> DataFrame:
-    """URLs not tracked for their group; with a sketch also without those it may contain.
+    """URLs not tracked for their group, each once per group.
 
-    The exact table decides. The sketch can only drop more, at its error rate; leave it out
-    unless the table is not available.
+    The first in ``order`` stays of URLs that repeat within ``urls``. A sketch of ``tracked``,
+    of as many ``bits``, saves the exact lookup for URLs it has certainly not seen; all others
+    are looked up, so a full sketch costs time but never a URL. Rows without group or URL
+    cannot be compared and all stay.
     """
-    fresh = drop_seen(urls, tracked, [group, url])
+    first = first_per_key(urls, [group, url], order or [group, url], blank=False)
     if sketch is None:
-        return fresh
+        return drop_seen(first, tracked, [group, url])
     key = F.concat(F.col(group), F.lit(":"), F.col(url))
-    return might_contain(fresh, sketch, group, key, "_seen").filter(~F.col("_seen")).drop("_seen")
+    probed = might_contain(first, sketch, group, key, "_seen", bits)
+    perhaps = drop_seen(probed.filter("_seen"), tracked, [group, url])
+    return probed.filter(~F.col("_seen")).unionByName(perhaps).drop("_seen")

@@ -13,6 +13,7 @@ from reelpress.operators import pages as P
 from reelpress.operators import sentiment as S
 from reelpress.operators import sketch as B
 from reelpress.plans import article_flow as A
+from reelpress.plans import article_job as J
 from reelpress.plans import comparison_sql as Q
 from reelpress.plans.registry import query
 from reelpress.plans.tables import KEYWORDS, LINK_MARKS, PAGE_BASE, Tables
@@ -35,7 +36,7 @@ def _with_hash(articles):
 
 @query("I1", f"SELECT seq, md5({Q.clean('content')}) AS digest FROM articles")
 def cleaned_text_digests(t: Tables):
-    return t.spread("articles").select("seq", F.md5(X.clean_text(F.col("content"))).alias("digest"))
+    return t.articles.select("seq", F.md5(X.clean_text(F.col("content"))).alias("digest"))
 
 
 @query(
@@ -44,7 +45,7 @@ def cleaned_text_digests(t: Tables):
 )
 def cleaned_text_digests_keeping_phrases(t: Tables):
     cleaned = X.clean_text(F.col("content"), phrases=[])
-    return t.spread("articles").select("seq", F.md5(cleaned).alias("digest"))
+    return t.articles.select("seq", F.md5(cleaned).alias("digest"))
 
 
 @query(
@@ -83,7 +84,7 @@ _PREPARED_COLUMNS = ["seq", "keyword", "source", "content_hash", "content_length
     f"WITH {_PREPARED} SELECT {', '.join(_PREPARED_COLUMNS)} FROM prepared",
 )
 def prepared_articles(t: Tables):
-    return A.prepare_articles(t.spread("articles")).select(*_PREPARED_COLUMNS)
+    return A.prepare_articles(t.articles).select(*_PREPARED_COLUMNS)
 
 
 @query(
@@ -94,7 +95,7 @@ def prepared_articles(t: Tables):
               FROM prepared) p WHERE r = 1""",
 )
 def unique_articles(t: Tables):
-    return A.process_batch(A.prepare_articles(t.spread("articles"))).select(*_PREPARED_COLUMNS)
+    return A.process_batch(A.prepare_articles(t.articles)).select(*_PREPARED_COLUMNS)
 
 
 @query(
@@ -250,22 +251,25 @@ probed AS (SELECT p.seq, count(b.position) = count(*) AS seen
 
 @query("L4", f"WITH {_PROBED} SELECT seq, seen FROM probed")
 def sketch_membership(t: Tables):
-    urls = t.spread("articles").select("seq", F.col("keyword").alias("stock_name"), "url")
+    urls = t.articles.select("seq", F.col("keyword").alias("stock_name"), "url")
     sketch = B.build_sketch(t.delivered, "stock_name", _item_key())
     return B.might_contain(urls, sketch, "stock_name", _item_key()).select("seq", "seen")
 
 
 @query(
-    "L5 D5",
-    f"""WITH {_PROBED}
-        SELECT u.seq, u.stock_name, u.url FROM urls u JOIN probed USING (seq)
-        WHERE NOT seen AND NOT EXISTS (SELECT 1 FROM delivered d
-                                       WHERE d.stock_name = u.stock_name AND d.url = u.url)""",
+    "L5 L6 D5 F2",
+    """SELECT seq, stock_name, url FROM (
+         SELECT seq, a.keyword AS stock_name, a.url,
+                row_number() OVER (PARTITION BY a.keyword, a.url ORDER BY seq) AS r
+         FROM articles a) u
+       WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM delivered d
+                                   WHERE d.stock_name = u.stock_name AND d.url = u.url)""",
 )
 def urls_unseen_by_table_and_sketch(t: Tables):
-    urls = t.spread("articles").select("seq", F.col("keyword").alias("stock_name"), "url")
-    sketch = B.build_sketch(t.delivered, "stock_name", _item_key())
-    return B.unseen_urls(urls, t.delivered, sketch)
+    urls = t.articles.select("seq", F.col("keyword").alias("stock_name"), "url")
+    bits = B.sketch_bits(t.delivered)
+    sketch = B.build_sketch(t.delivered, "stock_name", _item_key(), bits)
+    return B.unseen_urls(urls, t.delivered, sketch, order=["seq"], bits=bits)
 
 
 # ---- pages -------------------------------------------------------------------------------
@@ -283,7 +287,7 @@ def page_titles(t: Tables):
         FROM read_pages""",
 )
 def page_article_digests(t: Tables):
-    return P.read_pages(t.spread("pages")).select(
+    return P.read_pages(t.pages).select(
         "page_id", F.md5("content").alias("digest"), F.length("content").alias("n")
     )
 
@@ -295,7 +299,7 @@ def page_article_digests(t: Tables):
         FROM read_pages""",
 )
 def parsed_page_digests(t: Tables):
-    return P.parse_pages(t.spread("pages")).select(
+    return P.parse_pages(t.pages).select(
         "page_id", "title", F.md5("content").alias("digest"), F.length("content").alias("n")
     )
 
@@ -326,7 +330,7 @@ def page_links(t: Tables):
 
 @query("J3", f"WITH {_LINKS} SELECT page_id, position, link FROM page_links")
 def parsed_page_links(t: Tables):
-    parsed = P.parse_pages(t.spread("pages"), marks=LINK_MARKS)
+    parsed = P.parse_pages(t.pages, marks=LINK_MARKS)
     return P.extract_links(parsed, PAGE_BASE, LINK_MARKS, links=F.col("links")).select(
         "page_id", "position", "link"
     )
@@ -364,7 +368,7 @@ def page_links_or_page(t: Tables):
 )
 def page_article_records(t: Tables):
     records = P.extract_articles(
-        P.read_pages(t.spread("pages")), KEYWORDS, F.lit("pages"), _run_time()
+        P.read_pages(t.pages), KEYWORDS, F.lit("pages"), _run_time()
     )
     return records.withColumn("content_digest", F.md5("content")).drop("content", "full_content")
 
@@ -380,7 +384,7 @@ def page_article_records(t: Tables):
           OR contains(lower(a.content), lower(k.keyword))""",
 )
 def article_keyword_matches(t: Tables):
-    hits = P.explode_keywords(t.spread("articles"), ["title", "content"], KEYWORDS, out="found")
+    hits = P.explode_keywords(t.articles, ["title", "content"], KEYWORDS, out="found")
     return hits.select("seq", "found")
 
 
@@ -393,17 +397,14 @@ def article_keyword_matches(t: Tables):
           ON contains(lower(role), lower(keyword)) OR contains(lower(text), lower(keyword))""",
 )
 def feed_posts_by_keyword(t: Tables):
-    # each conversation plays one feed document, its turns the posts
+    # each turn plays a feed document of one post
     post = F.struct(
         F.col("turn"),
         F.col("role").alias("title"),
         F.col("text").alias("excerpt"),
         F.concat(F.lit("https://talk.example/"), "conv_id", F.lit("/"), "turn").alias("url"),
     )
-    feed = t.conversations.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(post)).alias("posts")
-    )
-    posts = P.posts_matching(feed, KEYWORDS)
+    posts = P.posts_matching(t.conversations.select(F.array(post).alias("posts")), KEYWORDS)
     return posts.select(
         F.split_part("url", F.lit("/"), F.lit(4)).cast("bigint").alias("conv_id"), "keyword", "url"
     )
@@ -420,7 +421,7 @@ def feed_posts_by_keyword(t: Tables):
 )
 def article_polarity(t: Tables):
     text = X.scoring_text(F.col("title"), F.col("content"))
-    scored = S.lexicon_sentiment(t.spread("articles"), "seq", text, t.lexicon())
+    scored = S.lexicon_sentiment(t.articles, "seq", text, t.lexicon())
     return scored.select("seq", "polarity", "subjectivity")
 
 
@@ -435,7 +436,7 @@ def article_polarity(t: Tables):
         FROM scored JOIN articles a USING (seq)""",
 )
 def article_sentiment_records(t: Tables):
-    articles = t.spread("articles").withColumns(
+    articles = t.articles.withColumns(
         {"article": F.col("seq").cast("string"), "content_length": F.length("content")}
     )
     records = S.sentiment_records(articles, t.lexicon(), _run_time(), id="article")
@@ -473,7 +474,7 @@ def score_distribution_by_keyword(t: Tables):
 
 
 def _score_records(t: Tables):
-    return S.sentiment_records(t.spread("articles"), t.lexicon(), _run_time(), id="seq")
+    return S.sentiment_records(t.articles, t.lexicon(), _run_time(), id="seq")
 
 
 @query(
@@ -487,7 +488,7 @@ def _score_records(t: Tables):
 )
 def noisy_article_scores(t: Tables):
     text = X.scoring_text(F.col("title"), F.col("content"))
-    scored = S.lexicon_sentiment(t.spread("articles"), "seq", text, t.lexicon())
+    scored = S.lexicon_sentiment(t.articles, "seq", text, t.lexicon())
     noise = C.keyed_noise(F.col("seq").cast("string"), "r1")
     return scored.select("seq", C.scale_score(F.col("mean_polarity"), noise).alias("score"))
 
@@ -501,3 +502,82 @@ def placeholder_scores(t: Tables):
     return S.placeholder_sentiment(t.articles).select(
         "seq", "sentiment_score", "sentiment_label", "confidence"
     )
+
+
+# ---- the whole flow ----------------------------------------------------------------------
+
+_FLOW = f"""unseen AS (
+    SELECT a.* FROM articles a
+    WHERE NOT EXISTS (SELECT 1 FROM delivered d
+                      WHERE d.stock_name = a.keyword AND d.url = a.url)),
+{_PREPARED.replace("FROM articles", "FROM unseen").replace("keyword, source", "keyword, source, url")},
+fresh AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seq) AS r
+                   FROM prepared) p WHERE r = 1)"""
+_FLOW_SCORED = f"{_FLOW}, {Q.SCORED.replace('FROM articles', 'FROM fresh')}"
+
+
+def _flow(t: Tables) -> J.ArticleTables:
+    """A run over all articles, with the labelled ones' URLs already tracked."""
+    tables = J.ArticleTables.empty(t.spark)
+    tracked = t.delivered.select("stock_name", "url", _run_time().alias("processed_at"))
+    raw = t.articles.withColumn("stock_name", F.col("keyword"))
+    return J.run_articles(
+        raw, tables._replace(tracking=tracked), t.lexicon(), _run_time(), F.to_date(_run_time())
+    )
+
+
+@query(
+    "B5 D5 D6 F2 I1 C6",
+    f"""WITH {_FLOW}
+        SELECT content_hash AS article_hash, keyword, source, url, md5(title) AS title_digest,
+               content_length FROM fresh""",
+)
+def flow_articles(t: Tables):
+    return _flow(t).articles.select(
+        "article_hash", "keyword", "source", "url", F.md5("title").alias("title_digest"),
+        "content_length",
+    )
+
+
+@query(
+    "B6 K2 I8",
+    f"""WITH {_FLOW_SCORED}
+        SELECT content_hash AS article_hash, scored.keyword,
+               CAST(score / 1000.0 AS DOUBLE) AS mock_sentiment_score,
+               CAST(scored.polarity AS DOUBLE) AS textblob_polarity,
+               CAST(scored.subjectivity AS DOUBLE) AS textblob_subjectivity
+        FROM scored JOIN fresh USING (seq)""",
+)
+def flow_scores(t: Tables):
+    scores = ("mock_sentiment_score", "textblob_polarity", "textblob_subjectivity")
+    return _flow(t).scores.select(
+        "article_hash", "keyword", *(F.col(name).cast("double").alias(name) for name in scores)
+    )
+
+
+@query(
+    "B7 E8",
+    f"""WITH {_FLOW_SCORED},
+        by_keyword AS (SELECT keyword, CAST(sum(score) AS BIGINT) AS total, count(*) AS n,
+                              min(score) AS low, max(score) AS high FROM scored GROUP BY keyword)
+        SELECT keyword, DATE '2024-02-01' AS date,
+               CAST({Q.thousandths("total", "n")} / 1000.0 AS DOUBLE) AS average_score,
+               CAST(low / 1000.0 AS DOUBLE) AS min_score,
+               CAST(high / 1000.0 AS DOUBLE) AS max_score, CAST(n AS INT) AS article_count
+        FROM by_keyword""",
+)
+def flow_aggregates(t: Tables):
+    scores = ("average_score", "min_score", "max_score")
+    return _flow(t).aggregates.select(
+        "keyword", "date", *(F.col(name).cast("double").alias(name) for name in scores),
+        "article_count",
+    )
+
+
+@query(
+    "B10 D5",
+    """SELECT stock_name, url FROM delivered UNION SELECT keyword, url FROM articles""",
+)
+def flow_tracking(t: Tables):
+    return _flow(t).tracking.select("stock_name", "url")

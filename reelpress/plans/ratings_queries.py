@@ -136,8 +136,9 @@ def top_genres_by_segment(t: Tables):
         HAVING count(*) >= {R.MIN_RATINGS_PER_ITEM}""",
 )
 def popular_item_counts(t: Tables):
-    popular = S.popular_items(t.ratings, R.MIN_RATINGS_PER_ITEM)
-    return R.row_counts(S.only_popular(t.ratings, popular), "movie_id", alias="n")
+    return R.min_support(
+        R.row_counts(t.ratings, "movie_id", alias="n"), "n", R.MIN_RATINGS_PER_ITEM
+    )
 
 
 @query(
@@ -201,8 +202,7 @@ def co_rated_item_pairs(t: Tables):
     cells = t.ratings.select(
         F.col("user_id").alias("u"), F.col("movie_id").alias("i"), F.lit(1.0).alias("x")
     ).distinct()
-    pairs = S.co_rated_pairs(cells, COOCCURRENCE)
-    return pairs.filter(F.col("k") >= COOCCURRENCE).select("i", "j", "k")
+    return S.co_rated_pairs(cells, COOCCURRENCE).select("i", "j", "k")
 
 
 @query(
@@ -214,5 +214,6 @@ def co_rated_item_pairs(t: Tables):
         ORDER BY s.similarity_score DESC, s.similar_movie_id LIMIT 10""",
 )
 def items_similar_to_title(t: Tables):
-    pairs = _rounded(S.item_similarity(t.ratings, *ONE_TITLE), "similarity_score")
-    return S.similar_items(pairs, t.items, "small bolt")
+    anchor = S.item_by_title(t.items, "small bolt")
+    mine = _rounded(S.similar_to_item(t.ratings, anchor, *ONE_TITLE), "similarity_score")
+    return S.most_similar(mine, t.items)

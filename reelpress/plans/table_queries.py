@@ -88,7 +88,9 @@ def articles_from_json_files(t: Tables):
     SINKS.write_json(
         t.articles.select("title", "content", "url", "source", "keyword"), path
     )
-    read = FILES.read_json(t.spark, path, schemas.ARTICLE_CONTENT, lines=True)
+    # a path that does not exist costs none of the others
+    paths = [f"{path}/not-there", path]
+    read = FILES.read_json(t.spark, paths, schemas.ARTICLE_CONTENT, lines=True)
     return read.filter("_corrupt_record IS NULL").select(
         "url", "source", "keyword", X.content_hash(F.col("title"), F.col("content")).alias("digest")
     )
@@ -101,8 +103,10 @@ def articles_from_json_files(t: Tables):
 def one_stock_of_a_stage(t: Tables):
     root = _scratch(t, "stages")
     urls = t.articles.select("seq", "url", F.col("keyword").alias("stock_name"))
-    SINKS.write_stage(urls, root, "urls", "20240201_063000", ["stock_name"])
-    return FILES.read_stage(t.spark, root, "urls", "fr").select("seq", "url", "stock_name")
+    for run in ("20240201_063000", "20240202_063000"):
+        SINKS.write_stage(urls, root, "urls", run, ["stock_name"])
+    read = FILES.read_stage(t.spark, root, "urls", "fr", run="20240202_063000")
+    return read.select("seq", "url", "stock_name")
 
 
 @query(
@@ -120,9 +124,21 @@ def parameterised_sql(t: Tables):
     )
 
 
-@query("A10 A11")
-def data_files(t: Tables):
-    return FILES.file_inventory(t.spark, t.folder, "*.parquet").select("key", "length")
+@query(
+    "A10 A11 D7",
+    """SELECT 'documents.parquet' AS key, count(*) AS n FROM documents
+       UNION ALL SELECT 'events.parquet', count(*) FROM events
+       UNION ALL SELECT 'orders.parquet', count(*) FROM orders""",
+)
+def rows_per_data_file(t: Tables):
+    counted = [
+        df.groupBy(FILES.file_key(t.folder).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        for df in (t.documents, t.events, t.orders)
+    ]
+    # only files that the inventory lists
+    listed = FILES.file_inventory(t.spark, t.folder, "*.parquet").select("key")
+    rows = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return rows.join(listed, "key", "left_semi")
 
 
 @query("H4 A12", "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
@@ -657,6 +673,19 @@ def deduplicated_event_stream(t: Tables):
     return t.spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{folder}/out")
 
 
+@query(
+    "M3",
+    """WITH cells AS (SELECT DISTINCT user_id AS u, movie_id AS i FROM ratings),
+       pairs AS (SELECT a.i, b.i AS j, count(*) AS k FROM cells a JOIN cells b ON a.u = b.u
+                 WHERE a.i <> b.i GROUP BY a.i, b.i HAVING count(*) >= 3)
+       SELECT i AS movie_id, j AS similar_movie_id, k AS cooccurrence_count FROM pairs""",
+)
+def factor_co_rated_items(t: Tables):
+    # every cosine passes a bound below -1: what is left is which pairs are compared at all
+    factors = ALS.item_factors(t.ratings, rank=8, iterations=5)
+    return ALS.factor_similarity(t.ratings, factors, -1.1, 3).drop("similarity_score")
+
+
 @query("M3")
 def factor_similar_items(t: Tables):
     factors = ALS.item_factors(t.ratings, rank=8, iterations=5)
@@ -672,6 +701,6 @@ def factor_similar_items(t: Tables):
                AS average_score, n AS article_count FROM by_source""",
 )
 def sentiment_by_source(t: Tables):
-    records = S.sentiment_records(t.spread("articles"), t.lexicon(), F.lit(None).cast("timestamp"), id="seq")
+    records = S.sentiment_records(t.articles, t.lexicon(), F.lit(None).cast("timestamp"), id="seq")
     by_source = S.sentiment_by_key(records, key="source")
     return by_source.select(F.col("source").alias("keyword"), "average_score", "article_count")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelpress.schemas import GENRE_FLAGS
-from reelpress.sources.files import total_bytes
 
 # ---- fixed values: which column value sets which flag on the stand-in items --------------
 FLAG_RULES = {
@@ -134,10 +133,6 @@ SOURCE_TABLES = [
 ]
 
 
-#: size from which a table is taken to have enough splits of its own
-SPREAD_BELOW = 256 * 1024 * 1024
-
-
 def role_sql(name: str) -> str:
     tables, condition, columns = ROLES[name]
     source = tables[0] if condition is None else f"{tables[0]} JOIN {tables[1]} ON {condition}"
@@ -167,23 +162,6 @@ class Tables:
             )
         )
 
-    def spread(self, name: str) -> DataFrame:
-        """A table or role whose rows are first spread over all cores if the table is small.
-
-        A small file of one row group is read by one task, which is then left with all the
-        text work. Tables of ``SPREAD_BELOW`` bytes or more come in many splits and are not
-        exchanged.
-        """
-        if name in ROLES:
-            tables, condition, columns = ROLES[name]
-            if condition is not None:
-                raise ValueError(f"{name} is a join")
-            return self.spread(tables[0]).selectExpr(*columns)
-        df = self.spark.read.parquet(self.path(name))
-        if total_bytes(self.spark, self.path(name)) >= SPREAD_BELOW:
-            return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
-
     def __getattr__(self, name: str) -> DataFrame:
         if name in ROLES:
             tables, condition, columns = ROLES[name]

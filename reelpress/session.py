@@ -6,7 +6,6 @@ dynamic allocation belong to the launcher.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -67,14 +66,12 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is missing and the session is local.
+    Where the setting is missing it is a folder of the warehouse, which executors share too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="reelpress-")
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return folder.rstrip("/")
 
 
 def use_checkpoints(spark: SparkSession) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 
 from reelpress import schemas
 
+_log = logging.getLogger(__name__)
+
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -21,13 +25,44 @@ def rows(spark: SparkSession, values: Sequence, schema: T.StructType) -> DataFra
     return spark.createDataFrame(list(values), schema)
 
 
+def _missing_path(error: AnalysisException) -> str | None:
+    if error.getCondition() != "PATH_NOT_FOUND":
+        return None
+    return error.getMessageParameters()["path"]
+
+
 def _or_empty(spark: SparkSession, schema: T.StructType, read) -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return empty(spark, schema)
-        raise
+        if _missing_path(error) is None:
+            raise
+        return empty(spark, schema)
+
+
+def _plain_path(path: str) -> str:
+    """A path without scheme, host and closing slash."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
+def read_present(paths: Sequence[str], read) -> tuple[DataFrame | None, list[str]]:
+    """``read(paths)`` without those that do not exist, and which those are.
+
+    None if there is none at all. Missing paths are also logged.
+    """
+    present, missing = list(paths), []
+    while present:
+        try:
+            return read(present), missing
+        except AnalysisException as error:
+            absent = _missing_path(error)
+            gone = [p for p in present if absent and _plain_path(p) == _plain_path(absent)]
+            if not gone:
+                raise
+            _log.warning("input path does not exist: %s", gone[0])
+            missing += gone
+            present = [p for p in present if p not in gone]
+    return None, missing
 
 
 def read_parquet(
@@ -39,52 +74,76 @@ def read_parquet(
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
 
 
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+
+
 def read_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType, lines: bool = False
 ) -> DataFrame:
-    """JSON files of one document each, or of one per line; a missing path gives no rows.
+    """JSON files of one document each, or of one per line.
 
-    What is not JSON becomes a row of NULLs with its text in ``_corrupt_record``.
+    Paths that do not exist give no rows and are logged; all others are read. What is not
+    JSON becomes a row of NULLs with its text in ``_corrupt_record``. A file that vanishes
+    while it is read is an error.
     """
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    return _or_empty(
-        spark,
-        wide,
-        lambda: spark.read.schema(wide)
-        .options(multiLine=not lines, mode="PERMISSIVE", ignoreMissingFiles=True)
-        .json(path),
-    )
+    wide = _with_corrupt(schema)
+    reader = spark.read.schema(wide).options(multiLine=not lines, mode="PERMISSIVE")
+    found, _ = read_present([path] if isinstance(path, str) else path, reader.json)
+    return empty(spark, wide) if found is None else found
 
 
 def file_key(root: str, path: Column | None = None) -> Column:
-    """Key of a file below ``root``, as the writer named it (file paths come URL-encoded)."""
+    """Key of a file below ``root``, as the writer named it (file paths come URL-encoded).
+
+    The root counts only as the beginning of the path, whatever names recur below it; the key
+    of a root that is itself a file is its name.
+    """
     path = F.col("_metadata.file_path") if path is None else path
-    below = F.substring_index(path, root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
-    return F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    base = _plain_path(root)
+    if not base.startswith("/"):  # relative to a working folder that only the store knows
+        base = f"/{base}"
+        plain = F.substr(plain, F.instr(plain, F.lit(f"{base}/")))
+    below = F.startswith(plain, F.lit(f"{base}/"))
+    return F.when(below, F.substr(plain, F.lit(len(base) + 2))).otherwise(
+        F.substring_index(plain, "/", -1)
+    )
 
 
-def read_article_contents(spark: SparkSession, root: str) -> DataFrame:
-    """Every article document below ``root`` with its key; unreadable ones are left out."""
-    wide = T.StructType(
-        [*schemas.ARTICLE_CONTENT.fields, T.StructField("_corrupt_record", T.StringType())]
-    )
+def read_article_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Every document below ``root`` with its key, readable or not.
+
+    What is not JSON has NULL fields and its text in ``_corrupt_record``.
+    """
+    wide = _with_corrupt(schemas.ARTICLE_CONTENT)
+    keyed = T.StructType([*wide.fields, T.StructField("path", T.StringType())])
 
     def read():
-        return (
-            spark.read.schema(wide)
-            .options(
-                multiLine=True, mode="PERMISSIVE", ignoreMissingFiles=True,
-                recursiveFileLookup=True,
-            )
-            .json(root)
-            .select("*", file_key(root).alias("path"))
+        documents = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
+        parsed = F.from_json("value", wide, {"mode": "PERMISSIVE"})
+        return documents.select(parsed.alias("d"), file_key(root).alias("path")).select(
+            "d.*", "path"
         )
 
-    keyed = T.StructType([*wide.fields, T.StructField("path", T.StringType())])
-    return (
-        _or_empty(spark, keyed, read)
-        .filter(F.col("_corrupt_record").isNull())
-        .drop("_corrupt_record")
+    return _or_empty(spark, keyed, read)
+
+
+def read_article_contents(spark: SparkSession, root: str) -> DataFrame:
+    """The readable article documents below ``root`` with their keys.
+
+    ``unreadable_documents`` lists what this leaves out.
+    """
+    documents = read_article_documents(spark, root)
+    return documents.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
+def unreadable_documents(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, text)`` of the documents below ``root`` that are not JSON."""
+    documents = read_article_documents(spark, root)
+    return documents.filter(F.col("_corrupt_record").isNotNull()).select(
+        "path", F.col("_corrupt_record").alias("text")
     )
 
 
@@ -111,10 +170,18 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_stage(
-    spark: SparkSession, root: str, stage: str, stock_name: str | None = None
+    spark: SparkSession,
+    root: str,
+    stage: str,
+    stock_name: str | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """A stage table; naming one stock reads only that stock's directory."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{stage}")
+    """A stage table; naming a run or a stock reads only the directories of it.
+
+    Without a run the rows of all runs come, each with its ``run_ts``.
+    """
+    df = spark.read.option("basePath", f"{root.rstrip('/')}/{stage}")
+    df = df.parquet(f"{root.rstrip('/')}/{stage}{'' if run is None else f'/run_ts={run}'}")
     return df if stock_name is None else df.filter(F.col("stock_name") == stock_name)
 
 
@@ -129,7 +196,7 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .option("pathGlobFilter", glob)
         .load(path)
         .select(
-            F.substring_index("path", path.rstrip("/").rsplit("/", 1)[-1] + "/", -1).alias("key"),
+            file_key(path).alias("key"),
             "path",
             "length",
             F.col("modificationTime").alias("modified"),
@@ -137,13 +204,6 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     )
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or of everything below a directory, from the file system's listing."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
 def under_prefix(inventory: DataFrame, prefix: str) -> DataFrame:
     return inventory.filter(F.startswith("key", F.lit(prefix)))
 

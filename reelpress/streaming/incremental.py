@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelpress.operators.dedup import new_items
 from reelpress.operators.sentiment import score_distribution, sentiment_records
 from reelpress.plans.article_flow import prepare_articles
+from reelpress.plans.article_job import run_article_job
 from reelpress.sinks.files import read_snapshot, write_parquet, write_snapshot
 from reelpress.sources.files import read_parquet
 
@@ -85,6 +86,36 @@ def run_incremental(
     )
 
 
+def run_article_stream(
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    lexicon: DataFrame,
+    now: Column,
+    run_date: Column,
+    **options,
+) -> None:
+    """The whole article flow over everything that has arrived since the last call.
+
+    Every micro-batch is a run of ``run_article_job`` with the batch's number as version: URL
+    tracking, articles, scores and the run log gain that version's directory, of the aggregates
+    the run's date is brought up to date.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        run_article_job(
+            batch.sparkSession, batch, root, batch_id, lexicon, now, run_date, **options
+        )
+
+    (
+        stream.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 COUNTS = T.StructType(
     [
         T.StructField("keyword", T.StringType()),

@@ -38,16 +38,16 @@ def test_new_items_and_fallback(spark):
 def test_same_url_stays_available_to_other_stocks(spark):
     urls = [f"https://news.example/{i}" for i in (1, 2, 3)]
     df = spark.createDataFrame(
-        [(s, u) for s in ("HDFC", "Tata Motors") for u in urls], "stock_name string, url string"
+        [(s, u) for s in ("stock a", "stock b") for u in urls], "stock_name string, url string"
     )
     tracked = df.filter("false")
     sketch = B.build_sketch(tracked, "stock_name", F.concat("stock_name", F.lit(":"), "url"))
     for fresh in (B.unseen_urls(df, tracked), B.unseen_urls(df, tracked, sketch)):
         assert {r.stock_name: r["count"] for r in fresh.groupBy("stock_name").count().collect()} == {
-            "HDFC": 3, "Tata Motors": 3,
+            "stock a": 3, "stock b": 3,
         }
-    done = df.filter("stock_name = 'HDFC'")
-    assert {r.stock_name for r in B.unseen_urls(df, done).collect()} == {"Tata Motors"}
+    done = df.filter("stock_name = 'stock a'")
+    assert {r.stock_name for r in B.unseen_urls(df, done).collect()} == {"stock b"}
 
 
 def python_positions(item, bits, hashes):
@@ -92,3 +92,29 @@ def test_membership(spark, bits):
     }
     stranger = spark.createDataFrame([("other", "u1")], "g string, u string")
     assert not B.might_contain(stranger, sketch, "g", F.col("u"), bits=bits).first().seen
+
+
+@pytest.mark.parametrize("bits", [1, 50, 10_000])
+def test_a_full_sketch_loses_no_url(spark, bits):
+    urls = [(i, f"g{i % 2}", f"u{i // 2 % 150}") for i in range(600)] + [(900, None, "u1"), (901, "g0", None)]
+    df = spark.createDataFrame(urls, "seq int, stock_name string, url string")
+    tracked = df.filter("seq < 100 AND seq % 3 = 0").select("stock_name", "url")
+    sketch = B.build_sketch(tracked, "stock_name", F.concat("stock_name", F.lit(":"), "url"), bits)
+    got = B.unseen_urls(df, tracked, sketch, order=["seq"], bits=bits)
+    exact = B.unseen_urls(df, tracked, order=["seq"])
+    assert seqs(got) == seqs(exact)
+    done = {(r.stock_name, r.url) for r in tracked.collect()}
+    firsts = {}
+    for seq, group, url in urls:
+        firsts.setdefault((group, url), seq)
+    assert seqs(got) == sorted(v for k, v in firsts.items() if k not in done)
+
+
+def test_sketch_size_follows_its_items(spark):
+    df = spark.range(20_000).selectExpr("'g' AS g", "concat('u', id) AS u")
+    added = df.filter("id < 10000")
+    bits = B.sketch_bits(added)
+    sketch = B.build_sketch(added, "g", F.col("u"), bits)
+    probed = B.might_contain(df, sketch, "g", F.col("u"), bits=bits)
+    assert probed.filter("seen").count() < 10_000 + 300
+    assert probed.filter("NOT seen").join(added, "u").count() == 0

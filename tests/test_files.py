@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelpress import schemas
+from reelpress.plans import article_flow as A
 from reelpress.plans import ratings_jobs as J
 from reelpress.sinks import files as W
 from reelpress.sources import delimited as D
@@ -82,6 +83,41 @@ def test_json_sources(spark, tmp_path):
     assert S.read_pages(spark, str(tmp_path / "html")).first().html == "<h1>é</h1>"
 
 
+def test_missing_and_unreadable_inputs(spark, tmp_path):
+    article = {"title": "t", "content": "c"}
+    first = put(tmp_path / "data/raw_data/x y.json", json.dumps(article))
+    put(tmp_path / "data/more/data/z.json", json.dumps(article))
+    put(tmp_path / "data/bad.json", "{not json")
+    absent = str(tmp_path / "absent.json")
+    paths = [absent, first, str(tmp_path / "gone")]
+    assert S.read_json(spark, paths, schemas.ARTICLE_CONTENT).filter("title = 't'").count() == 1
+    assert S.read_json(spark, [absent], schemas.ARTICLE_CONTENT).count() == 0
+    df, missing = S.read_present(paths, spark.read.text)
+    assert df.count() == 1 and sorted(missing) == sorted([absent, str(tmp_path / "gone")])
+    for root in (str(tmp_path / "data"), f"file://{tmp_path}/data/"):
+        contents = S.read_article_contents(spark, root)
+        assert contents.count() == 2
+        assert {r.path for r in contents.select("path").collect()} == {"raw_data/x y.json", "more/data/z.json"}
+        assert [r.path for r in S.unreadable_documents(spark, root).collect()] == ["bad.json"]
+        keys = {r.key for r in S.file_inventory(spark, root).collect()}
+        assert keys == {"raw_data/x y.json", "more/data/z.json", "bad.json"}
+    raw = spark.createDataFrame([("raw_data/x y.json",), ("none",)], "s3_raw_content_path string")
+    joined = A.attach_content(raw, S.read_article_contents(spark, str(tmp_path / "data")))
+    assert {(r.s3_raw_content_path, r.full_content) for r in joined.collect()} == {
+        ("raw_data/x y.json", "c"), ("none", None),
+    }
+
+
+def test_one_run_of_a_stage(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, stock_name string")
+    for run in ("20240101_000000", "20240102_000000"):
+        W.write_stage(df, str(tmp_path), "urls", run, ["stock_name"])
+    one = S.read_stage(spark, str(tmp_path), "urls", run="20240102_000000")
+    assert sorted(r.n for r in one.collect()) == [1, 2]
+    assert [r.n for r in S.read_stage(spark, str(tmp_path), "urls", "a", "20240102_000000").collect()] == [1]
+    assert S.read_stage(spark, str(tmp_path), "urls").groupBy("run_ts").count().count() == 2
+
+
 def test_inventory(spark, tmp_path):
     put(tmp_path / "in/ml/u.user", "x")
     put(tmp_path / "in/ml/u.data", "")
@@ -95,7 +131,6 @@ def test_inventory(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="ml/u.data, ml/u.item"):
         S.require_inputs(spark, inventory, ["ml/u.user", "ml/u.data", "ml/u.item"])
     assert "Content" not in inventory._jdf.queryExecution().executedPlan().toString()
-    assert S.total_bytes(spark, str(tmp_path / "in")) == 1
 
 
 def test_sql(spark):

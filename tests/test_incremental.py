@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reelpress.operators import sentiment as S
 from reelpress.plans import article_flow as A
+from reelpress.plans import article_job as J
 from reelpress.streaming import incremental as INC
 
 SCHEMA = "seq int, title string, content string, keyword string"
@@ -87,3 +88,67 @@ def test_stream_dedup(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r.k for r in spark.table("stream_dedup").collect()) == ["a", "b"]
+
+
+def flow_rows(spark, root):
+    def read(name, *columns):
+        return sorted(tuple(str(v) for v in r) for r in spark.read.parquet(f"{root}/{name}").select(*columns).collect())
+
+    return {
+        "articles": read("articles", "article_hash", "keyword", "url", "content_length"),
+        "scores": read("scores", "article_hash", "mock_sentiment_score"),
+        "aggregates": read("aggregates", "keyword", "date", "average_score", "min_score", "max_score", "article_count"),
+        "tracking": read("url_tracking", "stock_name", "url"),
+    }
+
+
+def test_flow_in_increments_equals_one_batch(spark, tmp_path, lexicon):
+    def raw(seqs):
+        return articles(spark, seqs).selectExpr(
+            "seq", "title", "content", "keyword", "keyword AS stock_name", "concat('u', seq) AS url",
+            "CAST(NULL AS STRING) AS s3_raw_content_path", "'s' AS source",
+        )
+
+    now, day = F.lit("2024-02-01 06:30:00").cast("timestamp"), F.lit("2024-02-01").cast("date")
+    first, second = raw(list(range(5))), raw(list(range(3, 20)))
+
+    def stream(name, files=None):
+        source = INC.read_new_files(spark, f"{tmp_path}/flow_in", first.schema, files)
+        INC.run_article_stream(
+            source, f"{tmp_path}/{name}", f"{tmp_path}/{name}_ck", lexicon, now, day
+        )
+
+    first.coalesce(1).write.parquet(f"{tmp_path}/flow_in", mode="append")
+    stream("flow_steps")
+    second.coalesce(1).write.parquet(f"{tmp_path}/flow_in", mode="append")
+    stream("flow_steps")
+    stream("flow_steps")  # nothing new has arrived
+    stream("flow_whole")
+    whole = flow_rows(spark, f"{tmp_path}/flow_whole")
+    assert flow_rows(spark, f"{tmp_path}/flow_steps") == whole
+    assert len(whole["articles"]) == 7 and len(whole["tracking"]) == 24
+    report = J.run_report(spark, f"{tmp_path}/flow_steps").collect()
+    assert sorted((r.run_id, r.status, r.articles_extracted, r.articles_analyzed) for r in report) == [
+        ("0", "SUCCESS", 7, 5), ("1", "SUCCESS", 17, 2),
+    ]
+    # a repeated run replaces its own version and nothing else
+    J.run_article_job(spark, second, f"{tmp_path}/flow_steps", 1, lexicon, now, day)
+    assert flow_rows(spark, f"{tmp_path}/flow_steps") == whole
+
+
+def test_flow_attaches_content_and_upserts_dates(spark, lexicon):
+    now, day = F.lit("2024-02-01 06:30:00").cast("timestamp"), F.lit("2024-02-01").cast("date")
+    raw = articles(spark, [1, 2]).selectExpr(
+        "seq", "title", "'short' AS content", "'k' AS keyword", "'k' AS stock_name", "concat('u', seq) AS url",
+        "concat('p', seq) AS s3_raw_content_path", "'s' AS source",
+    )
+    contents = spark.createDataFrame([("p1", "T", "good " * 20)], "path string, title string, content string")
+    old = J.run_articles(raw.limit(0), J.ArticleTables.empty(spark), lexicon, now, day)
+    held = spark.createDataFrame(
+        [("k", dt.date(2024, 2, 1), 9), ("k", dt.date(2024, 1, 31), 8)], "keyword string, date date, article_count int"
+    )
+    aggregates = old.aggregates.unionByName(held, allowMissingColumns=True)
+    got = J.run_articles(raw, old._replace(aggregates=aggregates), lexicon, now, day, contents)
+    assert [(r.url, r.content_length) for r in got.articles.collect()] == [("u1", 99)]
+    assert sorted((r.date.day, r.article_count) for r in got.aggregates.collect()) == [(1, 1), (31, 8)]
+    assert sorted(r.url for r in got.tracking.collect()) == sorted(r.url for r in raw.collect())

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 WRITES = {
     "users_from_delimited_file", "ratings_from_delimited_file", "items_from_latin1_file",
     "articles_from_json_files", "one_stock_of_a_stage", "incremental_articles",
-    "deduplicated_event_stream", "factor_similar_items",
+    "deduplicated_event_stream", "factor_similar_items", "factor_co_rated_items",
 }
 IN_PYTHON = {"parsed_page_digests", "parsed_page_links"}
 
@@ -31,6 +31,14 @@ def test_no_cross_joins_and_no_python(spark, name):
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["article_sentiment_records", "sentiment_by_keyword", "score_distribution_by_keyword", "sentiment_by_source"],
+)
+def test_scores_read_documents_once(spark, name):
+    assert plan(CATALOG[name].run(spark, FOLDER)).count("documents.parquet") == 1
+
+
 def test_first_per_key_limits_before_the_shuffle(spark):
     t = Tables(spark, FOLDER)
     df = t.articles.select("seq", "source", "url")

@@ -45,6 +45,29 @@ def test_keyed_noise_is_repeatable_and_bounded(spark):
     assert all(-0.1 <= float(x) < 0.1 for x in draw) and len(set(draw)) > 490
 
 
+def test_scores_need_no_id(spark, lexicon):
+    rows = [("h", "good good"), (None, "good good"), (None, "bad"), ("h", "bad"), ("h", "good good"), ("e", None)]
+    df = spark.createDataFrame(rows, "content_hash string, content string").withColumn("title", F.lit(""))
+    for threshold in ("10m", "-1"):  # the lexicon broadcast, and as if it were too large for that
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = S.sentiment_records(df, lexicon, F.lit(None).cast("timestamp")).collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert sorted((r.article_id, r.mock_sentiment_score) for r in got) == [
+            ("e", 0.5), ("h", 0.15), ("h", 0.85), ("h", 0.85), ("unknown", 0.15), ("unknown", 0.85),
+        ]
+    noisy = S.sentiment_records(df, lexicon, F.lit(None).cast("timestamp"), noise_seed="s").collect()
+    assert all(abs(r.mock_sentiment_score - (r.textblob_sentiment.polarity + 1) / 2) < 0.101 for r in noisy)
+
+
+def test_no_score_from_nothing(spark):
+    row = spark.range(1).select(
+        C.scale_score(F.lit(None).cast("double")), C.scale_score(F.lit(0.5), F.lit(None).cast("decimal(18,12)"))
+    ).first()
+    assert tuple(row) == (None, None)
+
+
 def test_by_key(spark):
     scores = spark.createDataFrame(
         [("k", 0.1), ("k", 0.2), ("k", 0.2), ("k", None), (None, 0.9)],

@@ -4,8 +4,6 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import functions as F
-
 from reelpress.operators import factors as ALS
 from reelpress.operators import ratings as R
 from reelpress.operators import similarity as S
@@ -61,26 +59,49 @@ def test_equals_brute_force(spark, seed, least, common):
 
 
 @pytest.mark.parametrize(
-    "seed, least, common, heavy_user",
-    [(4, 0.0013, 1, 3), (5, 0.3, 1, 4), (6, 0.2, 8, 20), (7, 0.45, 2, 3), (8, -0.2, 3, 5)],
+    "seed, least, common, block", [(4, 0.0013, 1, 1), (5, 0.3, 1, 4), (6, 0.2, 8, 20), (8, -0.2, 3, 5)]
 )
-def test_heavy_users_change_nothing(spark, seed, least, common, heavy_user):
+def test_blocks_change_nothing(spark, seed, least, common, block):
     rows = random_rows(seed)
     ratings = spark.createDataFrame(rows, SCHEMA)
-    got = as_dict(S.item_similarity(ratings, least, common, heavy_user=heavy_user))
+    got = as_dict(S.item_similarity(ratings, least, common, block_items=block))
     assert got and got == brute_force(rows, least, common)
 
 
-def test_norm_budget_sets_users_aside(spark):
-    rows = random_rows(7)
-    cells = S._cells(spark.createDataFrame(rows, SCHEMA), "user_id", "movie_id", "rating")
-    sums = cells.groupBy("i").agg(
-        F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx")
+def test_an_item_of_everybody_and_a_user_of_everything(spark):
+    rng = random.Random(11)
+    rows = [(u, 0, rng.randint(1, 5)) for u in range(60)] + [(0, i, rng.randint(1, 5)) for i in range(1, 40)]
+    rows += [(u, rng.randrange(1, 40), rng.randint(1, 5)) for u in range(60) for _ in range(4)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    assert as_dict(S.item_similarity(ratings, -1.0, 2, block_items=5)) == brute_force(rows, -1.0, 2)
+
+
+def test_ratings_are_read_once_and_never_dealt_by_item_alone(spark):
+    ratings = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr(
+        "l_orderkey % 100 AS user_id", "l_partkey AS movie_id", "CAST(l_quantity AS INT) AS rating"
     )
-    budget = S._norm_budget(sums, F.lit(40.0), 0.6)
-    by_count = S._flag_heavy(cells, 1, 3, None).filter("aside").count()
-    by_norm = S._flag_heavy(cells, 1, 3, budget).filter("aside").count()
-    assert by_count == 0 and by_norm > 0
+    df = S.item_similarity(ratings, 0.05, 3)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert "hashpartitioning(movie_id" not in final
+    assert "hashpartitioning(user_id" in final and final.count("FileScan") == 1, final
+    assert final.count("ReusedExchange") >= 3
+
+
+@pytest.mark.parametrize("least, common", [(-1.0, 1), (0.1, 3)])
+def test_one_item_from_its_raters(spark, least, common):
+    rows = random_rows(12) + [(None, 3, 1), (1, None, 2)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    anchor = spark.createDataFrame([(3,)], "movie_id int")
+    want = {j: v for (i, j), v in brute_force(rows[:-2], least, common).items() if i == 3}
+    got = S.similar_to_item(ratings, anchor, least, common)
+    assert {r.similar_movie_id: (round(r.similarity_score, 9), r.cooccurrence_count) for r in got.collect()} == want
+    nobody = spark.createDataFrame([(999,)], "movie_id int")
+    assert S.similar_to_item(ratings, nobody, least, common).count() == 0
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(25)], "movie_id int, title string")
+    top = S.items_like(ratings, items, "t3", 2, least, common).collect()
+    assert [r.similar_movie_id for r in top] == sorted(want, key=lambda j: (-want[j][0], j))[:2]
 
 
 def test_constant_rating_has_no_pair(spark):
@@ -121,6 +142,17 @@ def test_similar_items_by_title(spark):
     assert S.similar_items(sims, items, "nothing like it").count() == 0
 
 
+def test_dense_ids_and_wide_ids(spark):
+    values = [2**40 + 7 * i for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values * 2] + [(None,)], "k long")
+    got = ALS.dense_ids(df, "k", "n", buckets=16).collect()
+    assert sorted(r.k for r in got) == values and sorted(r.n for r in got) == list(range(500))
+    rows = [(u + 2**33, i + 2**34, x) for u, i, x in random_rows(13, 10, 6)]
+    wide = spark.createDataFrame(rows, "user_id long, movie_id long, rating int")
+    factors = ALS.item_factors(wide, rank=2, iterations=2)
+    assert {r.movie_id for r in factors.collect()} == {i for _, i, _ in rows}
+
+
 def test_factor_similarity(spark):
     ratings = spark.createDataFrame(random_rows(10), SCHEMA)
     factors = ALS.item_factors(ratings, rank=3, iterations=3)

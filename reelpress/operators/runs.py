@@ -85,46 +85,51 @@ def nearest_success(
     id: str,
     ts: str = "ts",
     max_age_hours: int = UPSTREAM_MAX_AGE_HOURS,
-    salts: int = 1,
 ) -> DataFrame:
     """For every run the time of the latest upstream success at or before it, if fresh enough.
 
-    An as-of join without a range join: both sides are laid on one time line, cut into
-    stretches of ``max_age_hours``. An upstream row also enters the next stretch, so each
-    stretch can be answered alone, and one busy key spreads over as many tasks as it has
-    stretches. Where a single stretch of a key is too much for one task, ``salts`` spreads its
-    runs further, each part with all upstream times.
+    An as-of join without a range join. The time line of a key is cut into stretches of a
+    thousandth of the age limit, one second at least. The latest success of each stretch is a
+    partial maximum; carried forward over the key's stretches, one row each, it tells what a
+    stretch begins with. Runs then need only the successes of their own stretch, so a busy key
+    is spread over as many groups as it has stretches.
     """
-    seconds = max_age_hours * 3600
-    stretch = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (seconds * 1_000_000))
-    asked = runs.select(
-        key,
-        id,
-        ts,
-        stretch.alias("stretch"),
-        F.pmod(F.hash(id), F.lit(salts)).alias("salt"),
-        F.lit(None).cast(runs.schema[ts].dataType).alias("success_at"),
-    )
+    width = max(1_000_000, max_age_hours * 3600 * 1000)
+    stretch = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width))
+    none = F.lit(None).cast(runs.schema[ts].dataType)
+    asked = runs.select(key, id, ts, stretch.alias("stretch"), none.alias("success_at"))
     given = upstream.select(
         key,
         F.lit(None).cast(runs.schema[id].dataType).alias(id),
         ts,
-        F.explode(F.array(stretch, stretch + 1)).alias("stretch"),
+        stretch.alias("stretch"),
         F.col(ts).alias("success_at"),
-    ).withColumn("salt", F.explode(F.array(*(F.lit(salt) for salt in range(salts)))))
+    )
+    both = asked.unionByName(given)
+    earlier = (
+        Window.partitionBy("_key").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    begins = (
+        both.groupBy(F.col(key).alias("_key"), F.col("stretch").alias("_stretch"))
+        .agg(F.max("success_at").alias("_latest"))
+        .withColumn("_carried", F.last("_latest", ignorenulls=True).over(earlier))
+        .filter(F.col("_carried").isNotNull())
+        .select("_key", "_stretch", "_carried")
+    )
     # at equal times the upstream row comes first
     line = (
-        Window.partitionBy(key, "stretch", "salt")
+        Window.partitionBy(key, "stretch")
         .orderBy(F.col(ts), F.col("success_at").isNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = asked.unionByName(given).withColumn(
-        "upstream_ts", F.last("success_at", ignorenulls=True).over(line)
+    seen = both.withColumn("_within", F.last("success_at", ignorenulls=True).over(line)).filter(
+        F.col("success_at").isNull()
     )
+    found = seen.join(
+        begins, F.col(key).eqNullSafe(F.col("_key")) & (F.col("stretch") == F.col("_stretch")), "left"
+    ).withColumn("upstream_ts", F.coalesce("_within", "_carried"))
     young = F.col(ts) - F.col("upstream_ts") <= F.make_dt_interval(hours=F.lit(max_age_hours))
-    return seen.filter(F.col(id).isNotNull()).select(
-        key, id, ts, F.when(young, F.col("upstream_ts")).alias("upstream_ts")
-    )
+    return found.select(key, id, ts, F.when(young, F.col("upstream_ts")).alias("upstream_ts"))
 
 
 def stage_counters(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:

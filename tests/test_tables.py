@@ -1,6 +1,7 @@
 """Merges, runs, reports, checks."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,8 +104,7 @@ def test_freshness(spark, minutes, fresh):
     assert got == {"p": fresh, "r": False}
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_nearest_success(spark, salts):
+def test_nearest_success(spark):
     day = dt.datetime(2024, 1, 1)
     at = lambda m: day + dt.timedelta(minutes=m)
     runs = spark.createDataFrame(
@@ -114,11 +114,26 @@ def test_nearest_success(spark, salts):
     upstream = spark.createDataFrame(
         [("k", at(0)), ("k", at(30)), ("k", at(60)), ("x", at(61))], "k string, ts timestamp"
     )
-    found = W.nearest_success(runs, upstream, "k", "id", salts=salts)
+    found = W.nearest_success(runs, upstream, "k", "id")
     got = {r.id: r.upstream_ts for r in found.collect()}
     assert got == {1: at(60), 2: None, 3: at(30), 4: None}
 
 
+def test_nearest_success_of_one_busy_key(spark):
+    rng = random.Random(4)
+    day = dt.datetime(2024, 1, 1)
+    moments = [day + dt.timedelta(seconds=rng.randrange(200_000)) for _ in range(1200)]
+    keys = ["busy" if rng.random() < 0.9 else rng.choice(["a", None]) for _ in moments]
+    rows = list(zip(range(1200), keys, moments, strict=True))
+    runs = spark.createDataFrame(rows[:600], "id int, k string, ts timestamp")
+    upstream = spark.createDataFrame([r[1:] for r in rows[600:700]], "k string, ts timestamp")
+    got = {r.id: r.upstream_ts for r in W.nearest_success(runs, upstream, "k", "id", max_age_hours=2).collect()}
+    for i, k, at in rows[:600]:
+        near = max((t for _, q, t in rows[600:700] if q == k and t <= at), default=None)
+        want = near if near and at - near <= dt.timedelta(hours=2) else None
+        assert got[i] == want
+
+
 def test_rollup_and_manifest(spark):
     stocks = spark.createDataFrame([("a",), ("b",)], "stock string")
     results = spark.createDataFrame([("a", 2, None), ("a", 3, None)], "stock string, n int, m int")

@@ -32,6 +32,10 @@ HEADLINE = [
     "aggregates_after_upsert",
     "nearest_upstream_success",
     "corpus_report",
+    "items_similar_to_title",
+    "urls_unseen_by_table_and_sketch",
+    "flow_articles",
+    "flow_aggregates",
 ]
 
 

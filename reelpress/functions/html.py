@@ -1,11 +1,13 @@
 """Column functions that read HTML with regular expressions, inside Catalyst.
 
-They cover pages whose title and body sit in plain ``<h1>``, ``<title>`` and ``<article>``
-elements. ``reelpress.operators.pages.parse_pages`` handles class selectors and nesting.
+Elements are found by tag or class and end where their own tag is closed, counting nested
+elements of the same tag. Markup that closes elements implicitly (an unclosed ``<p>`` before the end of
+its parent) needs ``reelpress.operators.pages.parse_pages``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,6 +20,18 @@ NO_TITLE = "No title found"
 NO_CONTENT = "No content found"
 #: body text of this length or less does not count as an article
 MIN_BODY = 100
+#: where a title is looked for: (selector of an ancestor or None, tag), in this order
+TITLE_PLACES = [
+    (None, "h1"), ("story-title", "h1"), ("article-title", "h1"), ("post-title", "h1"),
+    ("entry-title", "h1"), (None, "title"), ("headline", "h1"), ("*title", "h1"),
+]
+#: selectors of the body element, in this order: a class, ``*`` and part of a class, or a tag
+CONTENT_PLACES = [
+    "story-content", "article-content", "post-content", "entry-content", "content",
+    "<article>", "story-body", "article-body", "post-body", "entry-body", "*content", "*body",
+]
+#: selectors of elements whose links are taken besides marked links
+LINK_PLACES = ["story-card", "article-card", "<h2>", "<h3>"]
 #: parts of a URL that mark an article
 ARTICLE_MARKS = ["/202", "/story/", "/article/"]
 # -----------------------------------------------------------------------------------------
@@ -31,6 +45,7 @@ FIRST_HEADING = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
 PAGE_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 FIRST_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
 HREF = r"(?is)<a\s[^>]*?href=\"([^\"]*)\""
+ANY_HREF = r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 
 
 def plain_text(html: Column) -> Column:
@@ -41,25 +56,122 @@ def plain_text(html: Column) -> Column:
     return F.regexp_replace(decode_entities(out), OUTER_SPACE, "")
 
 
+def _opening(place: str) -> str:
+    """Pattern of the start tag of an element that a selector names; group 1 is the tag."""
+    if place.startswith("<"):
+        return rf"<((?i:{place[1:-1]}))\b[^>]*>"
+    name = re.escape(place.lstrip("*"))
+    if place.startswith("*"):
+        quoted, bare = f"[^\"']*{name}[^\"']*", rf"[^\s\"'>]*{name}[^\s\"'>]*"
+    else:
+        quoted, bare = rf"(?:[^\"']*\s)?{name}(?:\s[^\"']*)?", rf"{name}(?=[\s>])"
+    value = f"(?:\"{quoted}\"|'{quoted}'|{bare})"
+    return rf"<([A-Za-z][A-Za-z0-9]*)\b(?=[^>]*\s(?i:class)\s*=\s*{value})[^>]*>"
+
+
+def _until_closed(rest: Column, tag: Column) -> Column:
+    """What follows a start tag, up to the end tag that closes it (or to the end)."""
+    parts = F.split(rest, F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>")), -1)
+    nested = F.concat(F.lit("(?i)<"), tag, F.lit(r"\b"))
+    # the end tag after part i is the element's own if no more than i of its tag were opened
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("open"), F.lit(-1).alias("end"))
+
+    def step(state: Column, part: Column) -> Column:
+        opened = state["open"] + F.regexp_count(part, nested)
+        ends = (state["end"] < 0) & (opened <= state["i"])
+        return F.struct(
+            (state["i"] + 1).alias("i"),
+            opened.alias("open"),
+            F.when(ends, state["i"]).otherwise(state["end"]).alias("end"),
+        )
+
+    end = F.aggregate(parts, start, step, lambda state: state["end"])
+    whole = F.when(end < 0, F.size(parts)).otherwise(end + 1)
+    return F.array_join(F.slice(parts, F.lit(1), whole), "")
+
+
+def element(html: Column, place: str) -> Column:
+    """Inner HTML of the first element that a selector names; empty if there is none."""
+    opening = _opening(place)
+    tag = F.regexp_extract(html, f"(?s){opening}", 1)
+    return _until_closed(F.regexp_extract(html, f"(?s){opening}(.*)$", 2), tag)
+
+
+def elements(html: Column, place: str) -> Column:
+    """Inner HTML of all elements that a selector names, nested ones too, in document order."""
+    opening = _opening(place)
+    parts = F.split(html, f"(?s)(?={opening})", -1)
+    starts = F.filter(
+        F.transform(parts, lambda part, i: F.when(part.rlike(f"(?s)^{opening}"), i + 1)),
+        lambda i: i.isNotNull(),
+    )
+    return F.transform(
+        F.transform(starts, lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "")),
+        lambda rest: _until_closed(
+            F.regexp_extract(rest, f"(?s)^{opening}(.*)$", 2),
+            F.regexp_extract(rest, f"(?s)^{opening}", 1),
+        ),
+    )
+
+
+def without_scripts(html: Column) -> Column:
+    """The page without scripts, styles and comments, whose text may look like markup."""
+    return F.regexp_replace(F.regexp_replace(html, SCRIPTS, ""), COMMENTS, "")
+
+
+def _first(values: Column, test) -> Column:
+    return F.get(F.filter(values, test), F.lit(0))
+
+
 def page_title(html: Column) -> Column:
-    """Text of the first heading, else of the page title, else a fixed remark."""
-    parts = [plain_text(F.regexp_extract(html, p, 1)) for p in (FIRST_HEADING, PAGE_TITLE)]
-    return F.coalesce(*(F.nullif(part, F.lit("")) for part in parts), F.lit(NO_TITLE))
+    """Text of the first title place that has any, else a fixed remark.
+
+    The places with a class are looked through only on pages without a plain heading or title.
+    """
+    def found(above: str | None, tag: str) -> Column:
+        pattern = FIRST_HEADING if tag == "h1" else PAGE_TITLE
+        if above is None:
+            inside = F.regexp_extract(html, pattern, 1)
+        else:
+            holders = F.filter(elements(html, above), lambda e: e.rlike(pattern))
+            inside = F.coalesce(
+                F.regexp_extract(F.get(holders, F.lit(0)), pattern, 1), F.lit("")
+            )
+        return _first(F.array(plain_text(inside)), lambda t: (t != "") & (t != NO_TITLE))
+
+    return F.coalesce(*(found(above, tag) for above, tag in TITLE_PLACES), F.lit(NO_TITLE))
 
 
 def page_article(html: Column) -> Column:
-    """Text of the first ``<article>`` if it is long enough, else a fixed remark.
+    """Text of the first body place that has enough of it, else a fixed remark."""
+    plain = without_scripts(html)
 
-    Scripts go before the element is looked for, so markup inside their strings cannot end it.
-    """
-    text = plain_text(F.regexp_extract(F.regexp_replace(html, SCRIPTS, ""), FIRST_ARTICLE, 1))
-    kept = F.filter(F.array(text), lambda t: F.length(t) > MIN_BODY)
-    return F.coalesce(F.get(kept, F.lit(0)), F.lit(NO_CONTENT))
+    def found(place: str) -> Column:
+        text = F.array(plain_text(element(plain, place)))
+        return _first(text, lambda t: F.length(t) > MIN_BODY)
+
+    return F.coalesce(*(found(place) for place in CONTENT_PLACES), F.lit(NO_CONTENT))
 
 
 def page_links(html: Column) -> Column:
-    """All link targets of the page in document order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(HREF), 1), decode_entities)
+    """All link targets of the page in document order, in double, single or no quotes."""
+    return F.transform(
+        F.regexp_extract_all(html, F.lit(ANY_HREF), 0),
+        lambda a: decode_entities(
+            F.coalesce(
+                *(F.nullif(F.regexp_extract(a, ANY_HREF, n), F.lit("")) for n in (1, 2, 3)),
+                F.lit(""),
+            )
+        ),
+    )
+
+
+def placed_links(html: Column) -> Column:
+    """Link targets inside the elements that list articles, element by element."""
+    lists = [
+        F.flatten(F.transform(elements(html, place), page_links)) for place in LINK_PLACES
+    ]
+    return F.flatten(F.array(*lists))
 
 
 def absolute_url(link: Column, base: str) -> Column:

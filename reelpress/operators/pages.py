@@ -12,21 +12,6 @@ from pyspark.sql import functions as F
 from reelpress.functions import html as H
 from reelpress.functions import text as X
 
-# ---- fixed values: where titles, bodies and links are looked for, in this order ---------
-#: (class of an ancestor or None, tag); a leading ``*`` means the class merely contains it
-TITLE_PLACES = [
-    (None, "h1"), ("story-title", "h1"), ("article-title", "h1"), ("post-title", "h1"),
-    ("entry-title", "h1"), (None, "title"), ("headline", "h1"), ("*title", "h1"),
-]
-#: class of the body element, or its tag in angle brackets
-CONTENT_PLACES = [
-    "story-content", "article-content", "post-content", "entry-content", "content",
-    "<article>", "story-body", "article-body", "post-body", "entry-body", "*content", "*body",
-]
-#: class, or tag in angle brackets, of an element whose links are taken besides marked links
-LINK_PLACES = ["story-card", "article-card", "<h2>", "<h3>"]
-# -----------------------------------------------------------------------------------------
-
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = {"script", "style", "template"}
 
@@ -90,7 +75,7 @@ def _at(element: dict, place: str) -> bool:
 
 
 def _title(page: _Outline) -> str:
-    for above, tag in TITLE_PLACES:
+    for above, tag in H.TITLE_PLACES:
         for element in page.elements:
             if element["tag"] == tag and (
                 above is None or any(_at(outer, above) for outer in element["above"])
@@ -103,7 +88,7 @@ def _title(page: _Outline) -> str:
 
 
 def _content(page: _Outline) -> str:
-    for place in CONTENT_PLACES:
+    for place in H.CONTENT_PLACES:
         for element in page.elements:
             if _at(element, place):
                 text = page.text(element)
@@ -116,7 +101,7 @@ def _content(page: _Outline) -> str:
 def _links(page: _Outline, marks: Sequence[str]) -> list[str]:
     anchors = [element for element in page.elements if element["tag"] == "a"]
     found = [a["href"] for mark in marks for a in anchors if mark in a["href"]]
-    for place in LINK_PLACES:
+    for place in H.LINK_PLACES:
         found += [a["href"] for a in anchors if any(_at(outer, place) for outer in a["above"])]
     return found
 
@@ -133,8 +118,8 @@ def parse_pages(
 ) -> DataFrame:
     """Adds ``title``, ``content`` and ``links`` (array) and drops the HTML column.
 
-    For pages with class selectors and nested markup. One Arrow batch at a time (Spark bounds
-    a batch by rows and by bytes), no shuffle.
+    For pages that close elements implicitly. One Arrow batch at a time (Spark bounds a batch
+    by rows and by bytes), no shuffle.
     """
     kept = [field for field in pages.schema.fields if field.name != html]
     schema = ", ".join(
@@ -153,7 +138,7 @@ def parse_pages(
 
 
 def read_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Title and content by the native functions, for plainly marked-up pages."""
+    """Title and content by the native functions."""
     source = F.col(html)
     return X.compute_once(
         pages, title=H.page_title(source), content=H.page_article(source)
@@ -169,10 +154,13 @@ def extract_links(
 ) -> DataFrame:
     """One row per article URL of a page with its ``position``, first occurrence only.
 
-    ``links`` may name the link column of ``parse_pages``; otherwise marked links are read
-    natively from ``html``.
+    Marked links come first, then those in the elements that list articles. ``links`` may name
+    the link column of ``parse_pages``; otherwise they are read natively from ``html``.
     """
-    found = links if links is not None else H.ranked_links(H.page_links(F.col(html)), marks)
+    if links is None:
+        plain = H.without_scripts(F.col(html))
+        links = F.concat(H.ranked_links(H.page_links(plain), marks), H.placed_links(plain))
+    found = links
     others = [name for name in pages.columns if name not in (html, "links")]
     return pages.select(
         *others, F.posexplode(H.article_urls(found, base, marks)).alias("position", "link")
@@ -192,6 +180,27 @@ def explode_keywords(
     return once.withColumn(out, F.explode(found)).drop(*lowered)
 
 
+def explode_stock_keywords(
+    df: DataFrame,
+    columns: Sequence[str],
+    stocks: DataFrame,
+    out: str = "keyword",
+    most: int = 10_000,
+) -> DataFrame:
+    """One row per stock and keyword of it found in any of the columns, with ``stock_name``.
+
+    ``stocks`` has ``name`` and ``keywords``. The keywords are looked for inside each row, so the
+    dimension is fetched; beyond ``most`` keywords that is refused.
+    """
+    pairs = stocks.select(
+        F.col("name").alias("stock_name"), F.explode("keywords").alias(out)
+    ).filter(F.col(out) != "").distinct()
+    listed = sorted({row[1] for row in pairs.limit(most + 1).collect()})
+    if len(listed) > most:
+        raise ValueError(f"more than {most} keywords")
+    return explode_keywords(df, columns, listed, out).join(pairs, out)
+
+
 def extract_articles(
     parsed: DataFrame, keywords: Sequence[str], source: Column, run_time: Column
 ) -> DataFrame:

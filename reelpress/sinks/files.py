@@ -24,8 +24,13 @@ def write_json(df: DataFrame, path: str) -> None:
 def write_stage(
     df: DataFrame, root: str, stage: str, run_stamp: str, partition_by: Sequence[str] = ()
 ) -> str:
-    """Stage output in a directory of its own per run; running again replaces that run only."""
+    """Stage output in a directory of its own per run; running again replaces that run only.
+
+    Rows are gathered by partition value first, so that files do not multiply by tasks.
+    """
     path = f"{root.rstrip('/')}/{stage}/run_ts={run_stamp}"
+    if partition_by:
+        df = df.hint("rebalance", *(F.col(name) for name in partition_by))
     write_parquet(df, path, partition_by)
     return path
 

@@ -133,5 +133,9 @@ def _add_counts(counts: DataFrame, batch_id: int, base: str) -> None:
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """First row per key while its watermark lasts; older keys are forgotten."""
+    """First row per key while its watermark lasts; older keys are forgotten.
+
+    A key comes again once ``delay`` has passed since it was seen, so the result equals the
+    distinct keys only of a stream that spans less than ``delay`` or arrives in one batch.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -62,29 +62,28 @@ def test_links(spark):
     native = [r.link for r in P.extract_links(pages, base).orderBy("position").collect()]
     assert native == [
         "https://base.example/2024/x", "https://base.example/story/s?a=1&b=2",
-        "https://base.example/a/article/b",
+        "https://base.example/a/article/b", "https://base.example/story/r",
+        "https://h.example/STORY/z",
     ]
     parsed = P.parse_pages(pages)
     full = P.extract_links(parsed, base, links=F.col("links")).orderBy("position").collect()
-    assert [r.link for r in full] == [
-        *native, "https://base.example/story/r", "https://h.example/STORY/z",
-    ]
+    assert [r.link for r in full] == native
 
 
 def test_article_records(spark):
     parsed = spark.createDataFrame(
-        [("u1", "On HDFC", "c" * 2001), ("u2", "none", "about tcs"), ("u3", "no", "no")],
+        [("u1", "On ACME", "c" * 2001), ("u2", "none", "about tcs"), ("u3", "no", "no")],
         "url string, title string, content string",
     )
     now = F.lit("2024-02-01 06:30:00").cast("timestamp")
     got = {
         (r.url, r.keyword): r
-        for r in P.extract_articles(parsed, ["hdfc", "TCS"], F.lit("s"), now).collect()
+        for r in P.extract_articles(parsed, ["acme", "TCS"], F.lit("s"), now).collect()
     }
-    assert set(got) == {("u1", "hdfc"), ("u2", "TCS")}
-    one = got[("u1", "hdfc")]
+    assert set(got) == {("u1", "acme"), ("u2", "TCS")}
+    one = got[("u1", "acme")]
     assert len(one.content) == 2003 and len(one.full_content) == 2001
-    assert one.s3_raw_content_path == f"article_content/hdfc/{one.content_hash}_20240201_063000.json"
+    assert one.s3_raw_content_path == f"article_content/acme/{one.content_hash}_20240201_063000.json"
 
 
 def test_posts(spark):
@@ -95,3 +94,53 @@ def test_posts(spark):
     )
     got = P.posts_matching(feed, ["TCS"]).collect()
     assert [(r.position, r.url) for r in got] == [(0, "u1"), (1, "")]
+
+
+NESTED = {
+    "articles": f"<h1>N</h1><article>{LONG}<article>inner</article>after</article><article>next</article>",
+    "class": f"<title>C</title><div class='x entry-content y'>{LONG}<div>in</div>out</div><p>no</p>",
+    "part of class": f"<div class=\"main-body\"><section>{LONG}</section></div>",
+    "short first": f"<div class='content'>short</div><article>{LONG}</article>",
+    "bare class": f"<DIV CLASS=story-body>{LONG}</DIV>rest",
+    "title in class": f"<h1> </h1><div class='headline'><p>x</p></div><div class='headline'><h1>Yes</h1></div>{LONG}",
+    "comment": f"<!-- <article>{LONG}</article> --><article>{LONG}<!-- </article> --> end</article>",
+    "no end": f"<article>{LONG}",
+    "other tags": f"<articles>no</articles><article>{LONG}</article>",
+}
+NESTED_LINKS = """<a href='/2024/single'>x</a><a title="q" href=/2024/bare>x</a><A HREF="/2024/double">x</A>
+  <div class="story-card"><div><a href='/story/in-card'>x</a></div><a href="/article/card-2">x</a></div>
+  <h3><a href="http://h.example/article/heading">x</a></h3><a data-href="/2024/not-this">x</a>
+  <!-- <a href="/2024/hidden">x</a> --><h2>t<a href="/other/in-heading">x</a></h2>"""
+
+
+def test_native_equals_general_on_nested_pages(spark):
+    rows = [(k, v) for k, v in NESTED.items()]
+    df = spark.createDataFrame(rows, "name string, html string")
+    native = {r.name: (r.title, r.content) for r in P.read_pages(df).collect()}
+    general = {r.name: (r.title, r.content) for r in P.parse_pages(df).collect()}
+    assert native == general
+    assert native["articles"] == ("N", f"{LONG}innerafter") and native["title in class"][0] == "Yes"
+
+
+def test_native_links_in_all_quotes(spark):
+    df = spark.createDataFrame([(1, NESTED_LINKS), (2, None)], "page_id int, html string")
+    native = P.extract_links(df, "http://h.example").select("position", "link").collect()
+    parsed = P.parse_pages(df)
+    general = P.extract_links(parsed, "http://h.example", links=F.col("links"))
+    assert sorted(native) == sorted(general.select("position", "link").collect())
+    assert {r.link.rsplit("/", 1)[-1] for r in native} == {
+        "single", "bare", "double", "in-card", "card-2", "heading",
+    }
+
+
+def test_keywords_of_a_stock_table(spark):
+    stocks = spark.createDataFrame(
+        [("A", ["acme", "shared"]), ("B", ["shared", ""]), ("C", None)], "name string, keywords array<string>"
+    )
+    df = spark.createDataFrame([(1, "ACME here", None), (2, "x", "Shared"), (3, "no", "no")], "n int, a string, b string")
+    got = P.explode_stock_keywords(df, ["a", "b"], stocks).collect()
+    assert sorted((r.n, r.stock_name, r.keyword) for r in got) == [
+        (1, "A", "acme"), (2, "A", "shared"), (2, "B", "shared"),
+    ]
+    with pytest.raises(ValueError, match="more than 1"):
+        P.explode_stock_keywords(df, ["a"], stocks, most=1)

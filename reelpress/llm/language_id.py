@@ -34,6 +34,10 @@ from reelpress.llm.common import without
 SAMPLE_PER_LANGUAGE = 500
 #: Labelled texts that are learned from in all, at most; so many ids are broadcast.
 SAMPLE = 10_000
+#: Different labels, at most; so many counts are broadcast.
+MAX_LANGUAGES = 1000
+#: Texts whose features are held at a time.
+TEXTS = 250
 FEATURES = 2048
 MARGIN = 0.2
 #: Characters that are counted at a time.
@@ -138,11 +142,18 @@ def train(
 ) -> Model | None:
     """The model of a bounded sample of ``labelled``; None if it has no text with a letter."""
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    languages = known.select(lang).distinct().count()
+    counts = known.groupBy(F.col(lang).alias("of")).agg(F.count("*").alias("n"))
+    languages = counts.count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"{languages} languages; at most {MAX_LANGUAGES} can be told apart")
     most = min(per_language, SAMPLE // max(1, languages))
+    # a few times as many ids as wanted, by their hash, whatever the number of rows or tasks
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = (
         known.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"))
+        .join(F.broadcast(counts), F.col("lang") == F.col("of"))
+        .where(share * F.col("n") < 4 * most + 50)
         .withColumn("rank", F.row_number().over(first))
         .where(F.col("rank") <= most)
         .select(F.col("id").alias("chosen_id")).distinct()
@@ -190,19 +201,9 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     def tell(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters, known = letter_table(), Model(**shared.value)
         for texts in parts:
-            made = [None if t is None else features(t, letters) for t in texts]
-            at = [i for i, v in enumerate(made) if v is not None]
-            names = np.full(len(made), UNKNOWN, object)
-            scores, unsure = np.zeros(len(made)), np.ones(len(made), bool)
-            if at:
-                losses = known.losses(np.stack([made[i] for i in at]))
-                best = losses.argmin(axis=1)
-                odds = np.exp(-2 * (losses - losses.min(axis=1, keepdims=True)))
-                near = np.sort(losses, axis=1)
-                names[at] = np.array(known.languages, object)[best]
-                scores[at] = 1 / odds.sum(axis=1)
-                unsure[at] = near[:, 1] - near[:, 0] < MARGIN if near.shape[1] > 1 else False
-            yield pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": unsure})
+            told = [_tell(texts[at : at + TEXTS], letters, known) for at in range(0, len(texts), TEXTS)]
+            if told:
+                yield pd.concat(told, ignore_index=True)
 
     told = plain.withColumn("__told", tell("__text"))
     return told.withColumns({name: F.col(f"__told.{name}") for name in RESULT}).drop(
@@ -210,6 +211,22 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     )
 
 
+def _tell(texts: pd.Series, letters: np.ndarray, known: Model) -> pd.DataFrame:
+    made = [None if t is None else features(t, letters) for t in texts]
+    at = [i for i, v in enumerate(made) if v is not None]
+    names = np.full(len(made), UNKNOWN, object)
+    scores, unsure = np.zeros(len(made)), np.ones(len(made), bool)
+    if at:
+        losses = known.losses(np.stack([made[i] for i in at]))
+        best = losses.argmin(axis=1)
+        odds = np.exp(-2 * (losses - losses.min(axis=1, keepdims=True)))
+        near = np.sort(losses, axis=1)
+        names[at] = np.array(known.languages, object)[best]
+        scores[at] = 1 / odds.sum(axis=1)
+        unsure[at] = near[:, 1] - near[:, 0] < MARGIN if near.shape[1] > 1 else False
+    return pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": unsure})
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows that are never learned from: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -42,6 +42,8 @@ from reelpress.session import use_checkpoints
 RADIUS = 3
 #: Shingles whose bits are counted at a time.
 BLOCK = 65_536
+#: Rows whose far variants are written out at a time.
+FAR_ROWS = 1000
 
 
 def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
@@ -160,10 +162,10 @@ def _variants(rows: Rows, prefix: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         (2, (_flips(0, 0, 0),)),
     ):
         every = odd.take(odd.flips == flips)
-        for at in range(0, len(every.code), 4000):
+        for at in range(0, len(every.code), FAR_ROWS):
             for mask in masks:
                 if len(mask):
-                    yield *_spread(every.take(slice(at, at + 4000)), mask), False
+                    yield *_spread(every.take(slice(at, at + FAR_ROWS)), mask), False
 
 
 def _spread(rows: Rows, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

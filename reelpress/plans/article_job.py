@@ -69,17 +69,16 @@ def next_tables(
     return ArticleTables(
         M.insert_ignore(tables.articles, A.article_rows(records, now), ["article_hash"], ["url"]),
         M.append(tables.scores, A.score_rows(records, now)),
-        upsert_dates(tables.aggregates, aggregates),
+        upsert_date(tables.aggregates, aggregates, run_date),
         M.mark_processed(tables.tracking, extracted, now),
     )
 
 
-def upsert_dates(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Upsert by keyword and date that joins only the dates of the new rows."""
-    dates = new.select("date").distinct()
-    others = existing.join(dates, "date", "left_anti").select(*existing.columns)
-    touched = existing.join(dates, "date", "left_semi").select(*existing.columns)
-    return others.unionByName(M.upsert(touched, new, ["keyword", "date"], ["created_at"]))
+def upsert_date(existing: DataFrame, new: DataFrame, date: Column) -> DataFrame:
+    """Upsert by keyword and date of rows of one date: rows of other dates are not joined."""
+    same = F.coalesce(F.col("date") == date, F.lit(False))
+    merged = M.upsert(existing.filter(same), new, ["keyword", "date"], ["created_at"])
+    return existing.filter(~same).unionByName(merged)
 
 
 def run_articles(
@@ -138,11 +137,9 @@ def run_article_job(
     of_date = before.filter(F.to_date("analysis_timestamp") == run_date).unionByName(records)
     aggregates = A.aggregate_rows(sentiment_by_key(of_date), run_date, F.lit(f"{root}/records"), now)
     kept = read_parquet(spark, f"{root}/aggregates", schemas.AGGREGATE_SCORES_TABLE.schema)
-    merged = M.upsert(
-        kept.join(aggregates.select("date").distinct(), "date", "left_semi").select(*kept.columns),
-        aggregates, ["keyword", "date"], ["created_at"],
-    )
-    # the dates read are the dates replaced, so they are written beside the table first
+    of_run = kept.filter(F.col("date") == run_date)
+    merged = M.upsert(of_run, aggregates, ["keyword", "date"], ["created_at"])
+    # the date read is the date replaced, so it is written beside the table first
     staged = written(merged, "aggregates_of_runs")
     replace_partitions(staged, f"{root}/aggregates", ["date"])
     log = spark.range(1).select(

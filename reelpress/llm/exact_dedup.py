@@ -30,7 +30,8 @@ from reelpress.llm.common import text_of
 #: Bytes of text that a trie holds before it is given out at the next boundary.
 SUBTREE_BYTES = 32_000_000
 
-_OWNED = "body binary, len long, hash long, best long, n long"
+# ids go as text: beside nulls pandas would make large whole numbers inexact
+_OWNED = "body binary, len long, hash long, best string, n long"
 _DIGESTS = "digest binary, keep_id long, group_size long"
 
 
@@ -89,8 +90,8 @@ def _common(label: bytes, key: bytes, at: int) -> int:
     return low
 
 
-def _none(value) -> int | None:
-    return None if pd.isna(value) else int(value)
+def _number(value: str | None) -> int | None:
+    return None if value is None else int(value)
 
 
 def duplicate_groups(
@@ -108,7 +109,7 @@ def duplicate_groups(
         F.encode(body, "UTF-8").alias("body"),
         F.octet_length(body).cast("long").alias("len"),
         F.xxhash64(body).alias("hash"),
-        F.col(doc_id).cast("long").alias("best"),
+        F.col(doc_id).cast("string").alias("best"),
         F.lit(1).cast("long").alias("n"),
     )
 
@@ -116,7 +117,7 @@ def duplicate_groups(
         trie = Patricia(better)
         for batch in batches:
             for body, _, code, best, n in batch.itertuples(index=False):
-                trie.insert(bytes(body), _none(best), n, code)
+                trie.insert(bytes(body), _number(best), n, code)
                 if trie.bytes > subtree_bytes:
                     yield from _given(trie)
                     trie = Patricia(better)
@@ -130,7 +131,7 @@ def duplicate_groups(
                     yield from _digests(trie)
                     trie = Patricia(better)
                 last = (size, code)
-                trie.insert(bytes(body), _none(best), n)
+                trie.insert(bytes(body), _number(best), n)
         yield from _digests(trie)
 
     local = rows.mapInPandas(combine, _OWNED)
@@ -173,17 +174,16 @@ def _normalised(text: str, normalize: Callable[[Column], Column] | None) -> Colu
 
 
 def _given(trie: Patricia) -> Iterator[pd.DataFrame]:
-    rows = ((body, len(body), code, best, n) for body, best, n, code in trie.items())
-    yield from _frames(rows, ["body", "len", "hash", "best", "n"], "best")
+    rows = (
+        (body, len(body), code, None if best is None else str(best), n)
+        for body, best, n, code in trie.items()
+    )
+    while part := list(islice(rows, 1000)):
+        yield pd.DataFrame(part, columns=["body", "len", "hash", "best", "n"])
 
 
 def _digests(trie: Patricia) -> Iterator[pd.DataFrame]:
     rows = ((hashlib.sha256(body).digest(), best, n) for body, best, n, _ in trie.items())
-    yield from _frames(rows, ["digest", "keep_id", "group_size"], "keep_id")
-
-
-def _frames(rows: Iterator[tuple], columns: list[str], nullable: str) -> Iterator[pd.DataFrame]:
     while part := list(islice(rows, 1000)):
-        frame = pd.DataFrame(part, columns=columns)
-        frame[nullable] = frame[nullable].astype("Int64")
-        yield frame
+        frame = pd.DataFrame(part, columns=["digest", "keep_id", "group_size"], dtype=object)
+        yield frame.astype({"keep_id": "Int64", "group_size": "int64"})

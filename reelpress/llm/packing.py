@@ -113,6 +113,7 @@ def pack_documents(
         rows, block, held = [], [], 0
         for batch in batches:
             for doc, body in batch.itertuples(index=False):
+                doc = None if doc is None else int(doc)
                 data = encode(body) + end
                 n = len(data) // 4
                 full = n - n % window
@@ -134,7 +135,8 @@ def pack_documents(
         if rows:
             yield _frame(rows)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    # ids go as text: beside nulls pandas would make large whole numbers inexact
+    rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInPandas(pack, PIECES)
 
 
@@ -147,6 +149,7 @@ def _placed(block: list[tuple], ids: Iterator[int], window: int) -> Iterator[tup
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=_COLUMNS)
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    ids = pd.array([row[0] for row in rows], "Int64")
+    frame = pd.DataFrame([row[1:] for row in rows], columns=_COLUMNS[1:])
+    frame.insert(0, "doc_id", ids)
     return frame

@@ -129,9 +129,8 @@ def packed_rows(
 
         block, held, rows = [], 0, []
         for batch in batches:
-            known = batch["doc_id"].notna()
-            for doc, known_id, body in zip(batch["doc_id"], known, batch["text"], strict=True):
-                doc = int(doc) if known_id else None
+            for doc, body in zip(batch["doc_id"], batch["text"], strict=True):
+                doc = None if doc is None else int(doc)
                 data = encode(body) + end
                 for at in range(0, len(data), 4 * width):
                     piece = (doc, at // 4, data[at : at + 4 * width])
@@ -152,7 +151,8 @@ def packed_rows(
         if rows:
             yield out(rows)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    # ids go as text: beside nulls pandas would make large whole numbers inexact
+    rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"), text_of(text).alias("text"))
     return rows.mapInPandas(pack, ROWS)
 
 

@@ -105,3 +105,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 2 * lost <= size AS kept
 FROM base JOIN losses USING (doc_id)
 """
+
+ORACLE["op9_chat_quotation_linking"] = r"""
+WITH RECURSIVE messages AS (
+    SELECT conv_id, turn, role, text IS NULL AS missing,
+           string_split(coalesce(text, ''), chr(10)) AS parts
+    FROM conversations),
+lines AS (
+    SELECT conv_id, turn, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+    FROM messages),
+parsed AS (
+    SELECT conv_id, turn, pos, line,
+           length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g'))
+             AS level,
+           translate(trim(regexp_replace(regexp_replace(line, '^[ \t]*(?:>[ \t]*)+', ''),
+                                         '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+telling AS (SELECT * FROM parsed WHERE regexp_matches(key, '[\p{L}\p{N}]')),
+originals AS (
+    SELECT conv_id, key, min(turn) AS first FROM telling WHERE level = 0 GROUP BY conv_id, key),
+found AS (
+    SELECT t.conv_id, t.turn, o.first, min(t.level) AS level, count(*) AS n
+    FROM telling t JOIN originals o ON t.conv_id = o.conv_id AND t.key = o.key
+    WHERE t.level > 0 AND o.first < t.turn GROUP BY t.conv_id, t.turn, o.first),
+parents AS (
+    SELECT conv_id, turn, first AS parent FROM found
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn
+                               ORDER BY level, n DESC, first DESC) = 1),
+climbs(conv_id, turn, upto, hops) AS (
+    SELECT conv_id, turn, parent, CAST(1 AS BIGINT) FROM parents
+    UNION ALL
+    SELECT c.conv_id, c.turn, p.parent, c.hops + 1
+    FROM climbs c JOIN parents p ON c.conv_id = p.conv_id AND c.upto = p.turn),
+roots AS (
+    SELECT conv_id, turn, arg_max(upto, hops) AS root, max(hops) AS hops
+    FROM climbs GROUP BY conv_id, turn),
+own AS (
+    SELECT conv_id, turn, count(*) FILTER (level > 0) AS n_quoted_lines,
+           trim(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), ''),
+                ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS own_text
+    FROM parsed GROUP BY conv_id, turn)
+SELECT m.conv_id, m.turn, m.role, p.parent AS parent_turn,
+       coalesce(r.root, m.turn) AS thread_turn, coalesce(r.hops, 0) AS reply_depth,
+       o.n_quoted_lines, sha256(o.own_text) AS own_sha256,
+       sha256('<|' || coalesce(m.role, 'user') || '|>' || chr(10) || o.own_text || chr(10))
+         AS formatted_sha256
+FROM messages m JOIN own o ON m.conv_id = o.conv_id AND m.turn = o.turn
+LEFT JOIN parents p ON m.conv_id = p.conv_id AND m.turn = p.turn
+LEFT JOIN roots r ON m.conv_id = r.conv_id AND m.turn = r.turn
+"""

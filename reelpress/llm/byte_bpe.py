@@ -1,17 +1,15 @@
 """Byte-level BPE: ranked merges folded over the bytes of distinct words.
 
-``fold_merges`` is a Spark expression: a word's bytes are an array, and a fold merges, step by
-step, the leftmost pair of lowest rank, looked up in a literal map of ranks (in buckets, since
-looking a key up in one Spark map is linear). It runs on distinct words only:
+The corpus' distinct words are counted (only words and counts are shuffled), and the frequent ones, as
+many as fit ``COMMON_WORDS`` entries of at most ``FOLD_BYTES`` bytes, so that the size of the broadcast
+is bounded, are encoded by ``fold_merges``. That is a Spark expression: a word's bytes are an array, and a
+fold merges, step by step, the leftmost pair of lowest rank, looked up in a literal map of ranks
+(in buckets, since looking a key up in one Spark map is linear).
 
-* the corpus' distinct words are counted, and those frequent enough to fit ``COMMON_WORDS`` entries
-  are encoded once and broadcast: at most that many words of at most ``FOLD_BYTES`` bytes each,
-  so the size of the broadcast has a fixed bound;
-* every other distinct word of a document is encoded by the same fold in the document's row.
-
-Nothing but the distinct words and their counts is shuffled, and no text leaves its task. Words of
-more than ``FOLD_BYTES`` bytes, for which the fold's quadratic cost would hurt, are merged by
-``merge_long`` with a heap, in the same order.
+Words beyond the dictionary, a few hundredths of all, are merged in the task that reads them, in the
+same order by the same ranks, once per task and cached: ``merge_word``, and ``merge_long`` with a
+heap for long ones. The fold costs some 70 microseconds a word, and distinct words grow with the
+corpus; README has the figures of folding them all. No text leaves its task.
 
 ``decode`` concatenates the binary pieces of the ids.
 
@@ -27,26 +25,36 @@ import heapq
 import json
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
+from struct import pack
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
-import regex
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelpress.functions.text import compute_once
 from reelpress.llm.common import text_of, without
+from reelpress.llm.tokens import word_finder
 from reelpress.session import use_checkpoints
 
 #: Words in the broadcast dictionary, at most.
-COMMON_WORDS = 400_000
-#: Bytes of a word that the fold takes.
+COMMON_WORDS = 200_000
+#: Bytes of a word that the fold takes; its cost is quadratic.
 FOLD_BYTES = 64
+#: Words beyond the dictionary that a task remembers.
+CACHED_WORDS = 100_000
+#: Rows that are worked on at a time.
+PORTION_ROWS = 256
+#: Bytes from which a heap is worth while.
+LONG_BYTES = 256
 #: Buckets of the literal rank map.
 BUCKETS = 16_384
 #: Distinct words counted in a task before they are given out.
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 80_000
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -70,40 +78,102 @@ def _rank(table: Column, key: Column) -> Column:
     return F.try_element_at(F.get(table, bucket.cast("int")), key)
 
 
+_NO_RANK = 1 << 31
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once; a lambda's body would compute it at each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fold_merges(word: Column, table: Column) -> Column:
-    """Ids of a word as array<int>."""
-    whole = F.hex(F.encode(word, "UTF-8"))
-    size = (F.length(whole) / 2).cast("int")
-    parts = F.transform(F.sequence(F.lit(1), size), lambda i: F.substr(whole, i * 2 - 1, F.lit(2)))
+    """Ids of a word as array<int>.
+
+    The state has the parts, byte strings in hex, and the rank of each with its right neighbour;
+    a merge looks up the two new neighbourhoods only.
+    """
+
+    def rank(a: Column, b: Column) -> Column:
+        return _rank(table, F.concat(a, b))
+
+    def merge(state: Column, at: Column) -> Column:
+        """Joins the part at place ``at`` (from 1) with the next."""
+        parts, pairs = state["parts"], state["pairs"]
+        none = F.array().cast("array<int>")
+
+        def around(joint: Column) -> Column:
+            left = F.when(at > 1, F.array(rank(F.get(parts, at - 2), joint))).otherwise(none)
+            right = F.when(at < F.size(pairs), F.array(rank(joint, F.get(parts, at + 1)))).otherwise(none)
+            return F.struct(
+                F.concat(
+                    F.slice(parts, F.lit(1), at - 1), F.array(joint), F.slice(parts, at + 2, F.size(parts))
+                ).alias("parts"),
+                F.concat(
+                    F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))),
+                    left,
+                    right,
+                    F.slice(pairs, at + 2, F.size(pairs)),
+                ).alias("pairs"),
+            )
+
+        return _let(F.concat(F.get(parts, at - 1), F.get(parts, at)), around)
 
     def step(state: Column, _: Column) -> Column:
-        parts = state["parts"]
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: _rank(table, F.concat(F.get(parts, i), F.get(parts, i + 1))),
+        return _let(
+            F.array_min(state["pairs"]),
+            lambda best: F.when(best.isNull(), state).otherwise(
+                _let(
+                    F.array_position(state["pairs"], best).cast("int"), lambda at: merge(state, at)
+                )
+            ),
         )
-        best = F.array_min(pairs)
-        at = F.array_position(pairs, best).cast("int")
-        merged = F.concat(
-            F.slice(parts, F.lit(1), at - 1),
-            F.array(F.concat(F.get(parts, at - 1), F.get(parts, at))),
-            F.slice(parts, at + 2, F.size(parts)),
+
+    def fold(whole: Column) -> Column:
+        size = (F.length(whole) / 2).cast("int")
+        at = lambda i: F.substr(whole, i * 2 - 1, F.lit(2))
+        start = F.struct(
+            F.transform(F.sequence(F.lit(1), size), at).alias("parts"),
+            F.transform(
+                F.slice(F.sequence(F.lit(1), size), F.lit(1), size - 1),
+                lambda i: _rank(table, F.substr(whole, i * 2 - 1, F.lit(4))),
+            ).alias("pairs"),
         )
-        todo = state["todo"] & (F.size(parts) > 1)
-        return F.when(
-            todo & best.isNotNull(), F.struct(merged.alias("parts"), F.lit(True).alias("todo"))
-        ).otherwise(F.struct(parts.alias("parts"), F.lit(False).alias("todo")))
-
-    start = F.struct(parts.alias("parts"), F.lit(True).alias("todo"))
-    folded = F.aggregate(
-        F.sequence(F.lit(1), size), start, step, lambda s: F.transform(s["parts"], lambda p: _rank(table, p))
-    )
-    known = _rank(table, whole)
-    return F.when(known.isNotNull(), F.array(known)).otherwise(folded)
+        folded = F.aggregate(
+            F.sequence(F.lit(1), size),
+            start,
+            step,
+            lambda s: F.transform(s["parts"], lambda p: _rank(table, p)),
+        )
+        return _let(
+            _rank(table, whole),
+            lambda known: F.when(known.isNotNull(), F.array(known)).otherwise(folded),
+        )
+
+    return _let(F.hex(F.encode(word, "UTF-8")), fold)
+
+
+def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges in Python, in steps linear in the number of parts."""
+    if word in ranks:
+        return [ranks[word]]
+    if len(word) > LONG_BYTES:
+        return merge_long(word, ranks)
+    rank = ranks.get
+    # part i lies between ends[i] and ends[i + 1]; pairs[i] is its rank with the next
+    ends = list(range(len(word) + 1))
+    pairs = [rank(word[i : i + 2], _NO_RANK) for i in ends[:-2]]
+    while pairs and (best := min(pairs)) != _NO_RANK:
+        at = pairs.index(best)
+        del pairs[at], ends[at + 1]
+        if at:
+            pairs[at - 1] = rank(word[ends[at - 1] : ends[at + 1]], _NO_RANK)
+        if at < len(pairs):
+            pairs[at] = rank(word[ends[at] : ends[at + 2]], _NO_RANK)
+    return [ranks[word[a:b]] for a, b in pairwise(ends)]
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges by a heap over linked parts."""
+    """The same merges by a heap over linked parts, for words of any length."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
@@ -145,61 +215,89 @@ def encode(
     common = (
         _common(words.where(F.octet_length("word") <= FOLD_BYTES), common_words)
         .select("word", fold_merges(F.col("word"), table).alias("ids"))
-        .collect()
+        .toArrow()
     )
-    shared = spark.sparkContext.broadcast(({row[0]: row[1] for row in common}, ranks))
-    pattern = public_tokenizers.PATTERN
-
-    @F.pandas_udf("array<string>")
-    def uncommon(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, find = shared.value[0], regex.compile(pattern).findall
-        for texts in parts:
-            yield pd.Series(
-                [
-                    [
-                        w
-                        for w in dict.fromkeys(find(t))
-                        if w not in known and len(w.encode("utf-8", "surrogatepass")) <= FOLD_BYTES
-                    ]
-                    for t in texts
-                ]
-            )
+    shared = spark.sparkContext.broadcast((_packed(common), ranks))
+    del common
+
+    if text.lower() == "ids":
+        docs, text = docs.withColumnRenamed(text, "__text"), "__text"
+    plain = without(docs, "ids")
+    place = plain.columns.index(text)
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data, ranks = shared.value
+        known, find = _Ids(_unpacked(data), ranks), word_finder()
+        for part in _portions(batches):
+            rows = [known.ids_of(find(text or "")) for text in part.column(place).to_pylist()]
+            yield _with_column(part, schema, _lists(rows))
+
+    return plain.mapInArrow(assemble, schema).drop("__text")
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few hundred rows at a time, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PORTION_ROWS):
+            yield batch.slice(at, PORTION_ROWS)
+
+
+def _with_column(part: pa.RecordBatch, schema: T.StructType, made: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*part.columns, made], schema.fieldNames())
+
+
+def _lists(rows: list[bytes]) -> pa.Array:
+    """Rows of little-endian ids as one array of lists."""
+    ends = np.cumsum([0, *(len(row) // 4 for row in rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4")))
 
-    @F.pandas_udf("array<int>")
-    def assemble(
-        parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        (known, ranks), find = shared.value, regex.compile(pattern).findall
-        for texts, names, codes in parts:
-            out = []
-            for t, own, own_ids in zip(texts, names, codes, strict=True):
-                local = dict(zip(own, own_ids, strict=True))
-                ids: list[int] = []
-                for word in find(t):
-                    found = known.get(word)
-                    if found is None and (found := local.get(word)) is None:
-                        found = merge_long(word.encode("utf-8", "surrogatepass"), ranks)
-                        local[word] = found
-                    ids.extend(found)
-                out.append(ids)
-            yield pd.Series(out)
-
-    # so marked, the two run once per row, however often their results are used
-    uncommon, assemble = uncommon.asNondeterministic(), assemble.asNondeterministic()
-    plain = without(docs.withColumn("__text", text_of(text)), "ids")
-    named = plain.withColumn("__words", uncommon("__text"))
-    folded = compute_once(named, __ids=F.transform("__words", lambda w: fold_merges(w, table)))
-    return folded.withColumn("ids", assemble("__text", "__words", "__ids")).drop(
-        "__text", "__words", "__ids"
-    )
+
+class _Ids(dict):
+    """Word -> little-endian ids: the dictionary, and a bounded cache of the words beyond it."""
+
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int]):
+        super().__init__(known)
+        self.ranks, self.cached = ranks, []
+
+    def __missing__(self, word: str) -> bytes:
+        ids = merge_word(word.encode("utf-8"), self.ranks)
+        self[word] = ids = pack(f"<{len(ids)}i", *ids)
+        self.cached.append(word)
+        return ids
+
+    def ids_of(self, words: list[str]) -> bytes:
+        found = b"".join(map(self.__getitem__, words))
+        if len(self.cached) > CACHED_WORDS:
+            for word in self.cached:
+                del self[word]
+            self.cached = []
+        return found
+
+
+def _packed(common: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, common.schema) as stream:
+        stream.write_table(common)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> dict[str, bytes]:
+    known: dict[str, bytes] = {}
+    with pa.ipc.open_stream(data) as stream:
+        for batch in stream:
+            ids = batch.column(1)
+            flat, ends = ids.values.to_numpy().astype("<i4").tobytes(), (4 * ids.offsets.to_numpy()).tolist()
+            pieces = [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            known.update(zip(batch.column(0).to_pylist(), pieces, strict=True))
+    return known
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """Distinct words of the splitting pattern and how often they occur."""
-    pattern = public_tokenizers.PATTERN
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find, seen = regex.compile(pattern).findall, Counter()
+        find, seen = word_finder(), Counter()
         for batch in batches:
             for text in batch["text"]:
                 seen.update(find(text))
@@ -231,13 +329,22 @@ def decode(df: DataFrame, ids: str = "ids", ranks_path: str | None = None) -> Da
     spark = df.sparkSession
     ranks = read_ranks(spark, ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
     shared = spark.sparkContext.broadcast({rank: piece for piece, rank in ranks.items()})
+    if ids.lower() == "decoded":
+        df, ids = df.withColumnRenamed(ids, "__ids"), "__ids"
+    plain = without(df, "decoded")
+    place = plain.columns.index(ids)
+    schema = T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())])
 
-    @F.pandas_udf("binary")
-    def join(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = shared.value.__getitem__
-        for rows in parts:
-            yield pd.Series([None if r is None else b"".join(map(piece, r.tolist())) for r in rows])
-
-    return without(df.withColumn("__ids", F.col(ids)), "decoded").withColumn(
-        "decoded", join("__ids")
-    ).drop("__ids")
+        for part in _portions(batches):
+            rows = part.column(place)
+            # lists without values between them, so that lengths tell where each lies
+            pieces = list(map(piece, rows.flatten().to_numpy().tolist()))
+            sizes = rows.value_lengths().fill_null(0).to_numpy()
+            ends = np.cumsum([0, *sizes]).tolist()
+            texts = [b"".join(pieces[a:b]) for a, b in pairwise(ends)]
+            made = [None if gone else t for gone, t in zip(rows.is_null().to_pylist(), texts, strict=True)]
+            yield _with_column(part, schema, pa.array(made, pa.binary()))
+
+    return plain.mapInArrow(join, schema).drop("__ids")

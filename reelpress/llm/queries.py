@@ -57,7 +57,8 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return byte_bpe.decode(byte_bpe.encode(docs)).select(
+    encoded = byte_bpe.encode(docs).select("doc_id", "ids")
+    return byte_bpe.decode(encoded).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -114,6 +114,11 @@ def test_bpe_of_odd_texts(spark, frame):
         assert r.ids == library.encode_ordinary(text)
         assert bytes(r.decoded).decode() == text
     assert byte_bpe.encode(docs.where("false")).count() == 0
+    clash = frame([(1, "a b")], "doc_id long, ids string")
+    assert byte_bpe.encode(clash, "ids").columns == ["doc_id", "ids"]
+    lists = spark.createDataFrame([(1, [64, 65]), (2, None), (3, [])], "n int, decoded array<int>")
+    got = {r.n: r.decoded for r in byte_bpe.decode(lists, "decoded").collect()}
+    assert got == {1: b"ab", 2: None, 3: b""}
 
 
 @cache
@@ -134,7 +139,20 @@ def reference_bpe():
 @given(st.text(alphabet="abcdeinorst", min_size=1, max_size=90))
 def test_long_merges_are_the_library_s(word):
     library = reference_bpe()
-    assert byte_bpe.merge_long(word.encode(), library._mergeable_ranks) == library.encode_ordinary(word)
+    ids = library.encode_ordinary(word)
+    for merge in (byte_bpe.merge_word, byte_bpe.merge_long):
+        assert merge(word.encode(), library._mergeable_ranks) == ids
+
+
+def test_the_fold_is_the_library_s(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdeéinorst ß東", k=rng.randint(1, 20))) for _ in range(300)] + ["the", " and"]
+    ranks = reference_bpe()._mergeable_ranks
+    table = byte_bpe.rank_map(ranks)
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select(
+        "w", byte_bpe.fold_merges(F.col("w"), table).alias("ids")
+    )
+    assert all(r.ids == reference_bpe()._core_bpe.encode_single_piece(r.w.encode()) for r in rows.collect())
 
 
 # --- 3 SimHash
@@ -429,3 +447,43 @@ def test_a_long_chain_of_replies(spark):
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = chat.link_quotes(messages).collect()
     assert {r.turn: (r.thread_turn, r.reply_depth) for r in got} == {i: (0, i) for i in range(40)}
+
+
+def test_chat_sql_agrees_on_quotes(spark, tmp_path):
+    import duckdb
+    from compare import difference
+
+    from reelpress.llm.queries import ORACLE, QUERIES
+
+    rng, said = random.Random(8), {}
+    rows = []
+    for conv in range(20):
+        for turn in range(12):
+            lines = [f"line {rng.randrange(6)} of {conv % 3}" for _ in range(2)]
+            for _ in range(rng.randrange(3)):
+                if turn:
+                    quoted = rng.choice(said[conv, rng.randrange(turn)])
+                    lines.insert(0, "> " * rng.randint(1, 2) + quoted.upper())
+            said[conv, turn] = [x.lstrip("> ") for x in lines]
+            rows.append((conv, turn, rng.choice(["user", None]), rng.choice(["\n".join(lines), "\n".join(lines), None])))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    name = "op9_chat_quotation_linking"
+    made = QUERIES[name](spark, str(tmp_path))
+    assert made.where("parent_turn IS NOT NULL").count() > 20
+    assert difference(made, con, ORACLE[name]) is None
+
+
+def test_large_ids_beside_nulls_stay_exact(spark, frame):
+    big = 2**60 + 1
+    docs = frame([(big, "some words"), (big + 1, "some words"), (None, "others")]).coalesce(1)
+    pieces = packing.pack_documents(docs).collect()
+    assert {r.doc_id for r in pieces} == {big, big + 1, None}
+    rows = token_output.packed_rows(docs).collect()
+    assert {d for r in rows for d in r.doc_ids} == {big, big + 1, None}
+    kept = exact_dedup.mark_duplicates(docs).collect()
+    assert {(r.doc_id, r.keep_id) for r in kept} == {(big, big + 1), (big + 1, big + 1), (None, None)}
+    same = frame([(big, "some more words"), (None, "some more words")])
+    assert {r.component_id for r in simhash.near_duplicates(same).collect()} == {big}

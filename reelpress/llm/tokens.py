@@ -19,7 +19,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words a worker remembers, at most; it then forgets the later half, since frequent words come early.
-CACHE_WORDS = 160_000
+CACHE_WORDS = 300_000
 
 #: Letters of Latin-1 and Latin Extended-A.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"

@@ -69,6 +69,12 @@ def _opening(place: str) -> str:
     return rf"<([A-Za-z][A-Za-z0-9]*)\b(?=[^>]*\s(?i:class)\s*=\s*{value})[^>]*>"
 
 
+def _tag(html: Column, place: str, opening: str) -> Column:
+    """The tag's name, a literal where the selector states it."""
+    known = place.startswith("<")
+    return F.lit(place[1:-1]) if known else F.regexp_extract(html, opening, 1)
+
+
 def _until_closed(rest: Column, tag: Column) -> Column:
     """What follows a start tag, up to the end tag that closes it (or to the end)."""
     parts = F.split(rest, F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>")), -1)
@@ -93,8 +99,18 @@ def _until_closed(rest: Column, tag: Column) -> Column:
 def element(html: Column, place: str) -> Column:
     """Inner HTML of the first element that a selector names; empty if there is none."""
     opening = _opening(place)
-    tag = F.regexp_extract(html, f"(?s){opening}", 1)
-    return _until_closed(F.regexp_extract(html, f"(?s){opening}(.*)$", 2), tag)
+    tag = _tag(html, place, f"(?s){opening}")
+    found = _until_closed(F.regexp_extract(html, f"(?s){opening}(.*)$", 2), tag)
+    return F.when(_may_have(html, place), found).otherwise(F.lit(""))
+
+
+def _may_have(html: Column, place: str) -> Column:
+    """A quick look that rules most pages out before tags are matched one by one."""
+    if place.startswith("<"):
+        return F.contains(F.lower(html), F.lit(place[:-1]))
+    name = re.escape(place.lstrip("*"))
+    value = rf"(?:\"[^\"]*{name}|'[^']*{name}|[^\s\"'>]*{name})"
+    return F.contains(html, F.lit(place.lstrip("*"))) & html.rlike(rf"(?i:class)\s*=\s*{value}")
 
 
 def elements(html: Column, place: str) -> Column:
@@ -105,13 +121,14 @@ def elements(html: Column, place: str) -> Column:
         F.transform(parts, lambda part, i: F.when(part.rlike(f"(?s)^{opening}"), i + 1)),
         lambda i: i.isNotNull(),
     )
-    return F.transform(
+    found = F.transform(
         F.transform(starts, lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "")),
         lambda rest: _until_closed(
             F.regexp_extract(rest, f"(?s)^{opening}(.*)$", 2),
-            F.regexp_extract(rest, f"(?s)^{opening}", 1),
+            _tag(rest, place, f"(?s)^{opening}"),
         ),
     )
+    return F.when(_may_have(html, place), found).otherwise(F.array().cast("array<string>"))
 
 
 def without_scripts(html: Column) -> Column:
@@ -144,13 +161,16 @@ def page_title(html: Column) -> Column:
 
 def page_article(html: Column) -> Column:
     """Text of the first body place that has enough of it, else a fixed remark."""
-    plain = without_scripts(html)
-
-    def found(place: str) -> Column:
+    def found(plain: Column, place: str) -> Column:
         text = F.array(plain_text(element(plain, place)))
         return _first(text, lambda t: F.length(t) > MIN_BODY)
 
-    return F.coalesce(*(found(place) for place in CONTENT_PLACES), F.lit(NO_CONTENT))
+    # the lambda's variable holds the page without scripts, made once for all places
+    first = F.transform(
+        F.array(without_scripts(html)),
+        lambda plain: F.coalesce(*(found(plain, place) for place in CONTENT_PLACES)),
+    )
+    return F.coalesce(F.get(first, F.lit(0)), F.lit(NO_CONTENT))
 
 
 def page_links(html: Column) -> Column:

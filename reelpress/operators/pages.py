@@ -157,11 +157,12 @@ def extract_links(
     Marked links come first, then those in the elements that list articles. ``links`` may name
     the link column of ``parse_pages``; otherwise they are read natively from ``html``.
     """
-    if links is None:
-        plain = H.without_scripts(F.col(html))
-        links = F.concat(H.ranked_links(H.page_links(plain), marks), H.placed_links(plain))
-    found = links
     others = [name for name in pages.columns if name not in (html, "links")]
+    found = links
+    if links is None:
+        pages = X.compute_once(pages.select(*others, html), _plain=H.without_scripts(F.col(html)))
+        plain = F.col("_plain")
+        found = F.concat(H.ranked_links(H.page_links(plain), marks), H.placed_links(plain))
     return pages.select(
         *others, F.posexplode(H.article_urls(found, base, marks)).alias("position", "link")
     )

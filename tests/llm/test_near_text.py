@@ -1,0 +1,71 @@
+"""Near-dedup of the pipeline: Jaccard similarity of five-word shingles."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from reelpress.llm import near_text, simhash
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def shingle_set(text, words=5):
+    w = text.split()
+    return {" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+
+def similarity(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b)
+
+
+def near_copies(spark, rows):
+    docs = spark.createDataFrame([(d, t, "en", "x", 0) for d, t in rows], COLUMNS)
+    return corpus_pipeline.near_copies(spark, docs, "")
+
+
+def test_copies_at_the_bound_go(spark):
+    words = [f"w{random.Random(i).randrange(10**9)}" for i in range(200)]
+    changed = lambda *at: " ".join("y" + w if i in at else w for i, w in enumerate(words))
+    texts = {2: changed(), 3: changed(10, 50, 90, 130), 4: changed(20, 60, 100, 140, 180)}
+    assert 0.8 <= similarity(texts[2], texts[3]) and similarity(texts[2], texts[4]) < 0.8
+    codes = [simhash.fingerprint(texts[d]) for d in (2, 3)]
+    assert (codes[0] ^ codes[1]).bit_count() > simhash.RADIUS
+    assert {r.doc_id for r in near_copies(spark, texts.items()).collect()} == {2, 4}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_by_brute_force(spark, seed):
+    """Families of edits of a text: hot buckets with chains, and members that are near to none."""
+    rng = random.Random(seed)
+    texts = {}
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(120)]
+        for _ in range(40):
+            copy = list(base)
+            for at in rng.sample(range(120), rng.randrange(9)):
+                copy[at] = f"new{rng.randrange(40)}"
+            texts[len(texts)] = " ".join(copy)
+    texts |= {500: "", 501: None, 502: "few words", 503: "FEW  words", 504: "few"}
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    sets = {d: shingle_set((t or "").lower()) for d, t in texts.items()}
+    for d in texts:
+        for e in texts:
+            if e < d and 5 * len(sets[d] & sets[e]) >= 4 * len(sets[d] | sets[e]):
+                a, b = find(d), find(e)
+                root[max(a, b)] = min(a, b)
+    want = {d for d in texts if find(d) == d}
+    assert 5 < len(want) < 100
+    assert {r.doc_id for r in near_copies(spark, texts.items()).collect()} == want
+
+
+def test_sets_are_by_words():
+    assert len(near_text.shingles("a b c d e f")) == 2 and len(near_text.shingles("a b")) == 1
+    assert near_text.shingles("A  b\nc d E").tolist() == near_text.shingles("a b c d e").tolist()

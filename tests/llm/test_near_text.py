@@ -69,3 +69,10 @@ def test_components_by_brute_force(spark, seed):
 def test_sets_are_by_words():
     assert len(near_text.shingles("a b c d e f")) == 2 and len(near_text.shingles("a b")) == 1
     assert near_text.shingles("A  b\nc d E").tolist() == near_text.shingles("a b c d e").tolist()
+
+
+def test_shared_and_null_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(7, a), (7, b), (7, b), (None, a), (None, "c d e f g h"), (None, "C d  e f g h"), (9, b + " more")]
+    got = sorted((r.doc_id or 0, r.text.lower().split()[0]) for r in near_copies(spark, rows).collect())
+    assert got == [(0, "c"), (7, "a0"), (7, "b0")]

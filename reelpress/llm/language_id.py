@@ -5,14 +5,15 @@ languages and a fixed pseudo-random code beyond. One linear classifier per bit,
 character n-grams, predicts the bits of a text. Decoding adds up, per language, the logistic
 loss of each bit's margin against its codeword, weighted by how well that bit was told for that
 language in training; the language with the least loss is nearest. A text is ambiguous if the
-runner-up comes within ``MARGIN`` of it.
+runner-up comes within ``MARGIN`` of it. It fits if the nearest codeword's weighted loss is below log 2, that
+of bits told by tossing a coin; one that does not is in no language that was learned.
 
 The classifiers are fitted on the driver on a bounded sample: at most ``SAMPLE_PER_LANGUAGE``
 labelled texts of each language and ``SAMPLE`` in all, chosen by a hash of their ids, as feature vectors of ``FEATURES``
 numbers that the executors made. Prediction reads every whole text, in blocks.
 
-Defined results: null text or a text without a letter is ``und`` with score 0; so is any text
-if nothing was learned; rows with null labels are not learned from; ties go to the first
+Defined results: null text or a text without a letter is ``und`` with score 0 and does not fit; if nothing
+was learned every text is ``und``, but those with a letter fit; rows with null labels are not learned from; ties go to the first
 language by name; repeated rows are predicted alike; an empty table gives an empty result;
 input columns named like a result column are replaced.
 """
@@ -44,7 +45,7 @@ MARGIN = 0.2
 BLOCK = 1 << 19
 #: Stretches the features, which are small, so that gradient steps of order one suit them.
 SCALE = 40.0
-RESULT = ("lang_pred", "score", "ambiguous")
+RESULT = ("lang_pred", "score", "ambiguous", "fits")
 UNKNOWN = "und"
 
 
@@ -189,15 +190,20 @@ def train(
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and ambiguous."""
+    """``docs`` with lang_pred, score (0 to 1), ambiguous and fits."""
     plain = without(docs.withColumn("__text", F.col(text)), *RESULT)
     if model is None:
-        return plain.drop("__text").withColumns(
-            {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "ambiguous": F.lit(True)}
-        )
+        return plain.withColumns(
+            {
+                "lang_pred": F.lit(UNKNOWN),
+                "score": F.lit(0.0),
+                "ambiguous": F.lit(True),
+                "fits": F.coalesce(F.col("__text").rlike(r"\p{L}"), F.lit(False)),
+            }
+        ).drop("__text")
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean, fits boolean")
     def tell(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters, known = letter_table(), Model(**shared.value)
         for texts in parts:
@@ -216,15 +222,17 @@ def _tell(texts: pd.Series, letters: np.ndarray, known: Model) -> pd.DataFrame:
     at = [i for i, v in enumerate(made) if v is not None]
     names = np.full(len(made), UNKNOWN, object)
     scores, unsure = np.zeros(len(made)), np.ones(len(made), bool)
+    fits = np.zeros(len(made), bool)
     if at:
         losses = known.losses(np.stack([made[i] for i in at]))
         best = losses.argmin(axis=1)
         odds = np.exp(-2 * (losses - losses.min(axis=1, keepdims=True)))
         near = np.sort(losses, axis=1)
+        fits[at] = near[:, 0] < np.log(2)
         names[at] = np.array(known.languages, object)[best]
         scores[at] = 1 / odds.sum(axis=1)
         unsure[at] = near[:, 1] - near[:, 0] < MARGIN if near.shape[1] > 1 else False
-    return pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": unsure})
+    return pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": unsure, "fits": fits})
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -25,14 +25,14 @@ variant has at most 65 near and 992 far members, so no such group grows with the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelpress.llm.common import text_of
@@ -262,22 +262,24 @@ def fingerprint_links(codes: DataFrame, n: int) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3
+def near_components(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    words: int = 3,
+    carry: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits) and component_id.
+    """One row per document: doc_id, fingerprint (long), root, component_id and the ``carry`` columns.
 
-    component_id is the smallest doc_id that links of at most three bits reach. Documents
-    without words have fingerprint zero and are linked like any other; null ids never become a
-    component_id unless the component has no other; repeated rows stay; an empty table gives an
-    empty result.
+    ``root`` names a component even where all of its ids are null; ``carry`` columns should be narrow,
+    since they are written and shuffled with the fingerprints.
     """
     use_checkpoints(docs.sparkSession)
     marked = (
         with_fingerprint(
-            docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words=words
+            docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carry), words=words
         )
-        .select("doc_id", "fingerprint")
+        .drop("text")
         .checkpoint()
     )
     first = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")).checkpoint()
@@ -287,8 +289,21 @@ def near_duplicates(
         "root", F.coalesce("root", "fingerprint")
     )
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select(
+    classes = rooted.join(lowest, "root").select("fingerprint", "root", "component_id")
+    return marked.join(classes, "fingerprint")
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3
+) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits) and component_id.
+
+    component_id is the smallest doc_id that links of at most three bits reach. Documents
+    without words have fingerprint zero and are linked like any other; null ids never become a
+    component_id unless the component has no other; repeated rows stay; an empty table gives an
+    empty result.
+    """
+    return near_components(docs, text, doc_id, words).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",

@@ -5,11 +5,13 @@ the last one the pieces of windows. Between stages the rows are written as Parqu
 all executors share and read again, so a lost executor costs no more than the running stage.
 
 * quality rules: documents that fail go, failing lines of the others go from their texts;
-* language ID: documents without a language (null, or no letter) go; the others keep their labels;
+* language ID: documents without a language go: null, no letter, or further from every learned language's
+  codeword than tossed coins would be; a missing label is filled with the predicted language. If no label was
+  learned from, every text with a letter stays and null labels stay null;
 * line dedup: repeated lines go, except in the smallest doc_id; a document that loses all its
   text goes, since nothing is left of it to pack;
-* near-dedup: the smallest doc_id stays of each group that five-word shingles with a Jaccard similarity of
-  0.8 or more join;
+* near-dedup: the smallest doc_id stays of each group that SimHash fingerprints over three-word shingles join
+  by links of at most three bits;
 * packing: what is left, in windows of 1024 ids.
 
 ``n_chars`` follows the text. Rows that share a doc_id go through the first three stages alike;
@@ -23,11 +25,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelpress.functions.text import compute_once
-from reelpress.llm import language_id, line_dedup, near_text, packing, quality
+from reelpress.llm import language_id, line_dedup, packing, quality, simhash
 from reelpress.session import shared_folder
 
 #: Trained models and XXH64 have no SQL form; a test compares the rows with brute force.
@@ -39,9 +41,13 @@ def _carried(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang")
 
 
-def _rows(carried: DataFrame, docs: DataFrame, text: str | None = None) -> DataFrame:
-    """The rows again, with another text if one is named."""
+def _rows(
+    carried: DataFrame, docs: DataFrame, text: str | None = None, label: str | None = None
+) -> DataFrame:
+    """The rows again, with another text or label if one is named."""
     columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    if label:
+        columns["lang"] = F.col(label)
     if text:
         columns["text"] = F.col(text)
         if "n_chars" in columns:
@@ -57,7 +63,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = language_id.identify(_carried(docs))
-    return _rows(told.where(F.col("lang_pred") != language_id.UNKNOWN), docs)
+    kept = told.where("fits")
+    label = F.coalesce("lang", F.nullif(F.col("lang_pred"), F.lit(language_id.UNKNOWN)))
+    return _rows(kept.withColumn("lang", label), docs, label="lang")
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,17 +74,23 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _rows(once.where("n_dropped = 0 OR kept_text != ''"), docs, "kept_text")
 
 
+def _text_key() -> list[Column]:
+    """128 bits that tell texts apart; null and empty are the same."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(text).alias("__h1"), F.xxhash64(F.lit(1), text).alias("__h2")]
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_text.near_components(docs)
+    found = simhash.near_components(docs, carry=_text_key())
     # null ids come last; equal ids, and null ones, are told apart by their text
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("one")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__h1", "__h2")).alias("one")
     stay = found.groupBy("root").agg(least).select(
-        F.col("one.doc_id").alias("__stay"), F.col("one.h1").alias("__stay1"), F.col("one.h2").alias("__stay2")
+        F.col("one.doc_id").alias("stay_id"), F.col("one.__h1").alias("stay1"), F.col("one.__h2").alias("stay2")
     )
-    h1, h2 = near_text.text_key()
-    dealt = docs.select(F.struct("*").alias("row"), "doc_id", h1, h2).repartition("doc_id", "h1", "h2")
-    same = F.col("doc_id").eqNullSafe(F.col("__stay")) & F.expr("h1 = __stay1 AND h2 = __stay2")
-    return _rows(dealt.join(stay, same, "left_semi").dropDuplicates(["doc_id", "h1", "h2"]), docs)
+    # a plain column holds the row, so names in it cannot clash
+    dealt = docs.select(F.struct("*").alias("row"), "doc_id", *_text_key()).repartition("doc_id", "__h1", "__h2")
+    same = F.col("doc_id").eqNullSafe(F.col("stay_id")) & F.expr("__h1 = stay1 AND __h2 = stay2")
+    return _rows(dealt.join(stay, same, "left_semi").dropDuplicates(["doc_id", "__h1", "__h2"]), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

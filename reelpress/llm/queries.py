@@ -16,6 +16,7 @@ from reelpress.llm import (
     packing,
     quality,
     simhash,
+    spelling,
     token_output,
     url_filter,
 )
@@ -126,3 +127,8 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
         "sequence_id", "n_tokens", "doc_ids", "starts", "cu_seqlens",
         F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"),
     )
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, folder, "documents"))

@@ -209,7 +209,8 @@ def _by_trie(words: DataFrame, min_length: int) -> DataFrame:
             F.substring("form", 1, depth).alias("node"),
         )
         if frontier is not None:
-            here = here.unionByName(frontier)
+            # a level may be broadcast, so partitions would add up from level to level
+            here = here.unionByName(frontier.coalesce(spark.sparkContext.defaultParallelism))
         level = trie.where(F.col("depth") == depth).drop("depth")
         stepped = _step(here, level, depth).checkpoint()
         found.append(stepped.where("found IS NOT NULL"))

@@ -97,7 +97,7 @@ def test_few_letters_and_all_edits(spark, frame, seed):
 
 
 def test_odd_rows(spark, frame):
-    chain = "abcdefgh " * 300 + "abcdefgx " * 30 + "abcdefyx " * 3 + "ABCDEFYX " + "abcdezzz abcdezzz"
+    chain = "abcdefgh " * 300 + "abcdefgx " * 30 + "abcdefyx " * 2 + "ABCDEFYX " + "abcdezzz abcdezzz"
     docs = [(1, chain), (1, chain), (None, "nullnull nullnull"), (2, None), (3, ""), (4, "a" * 50_000 + " b " + "a" * 50_000)]
     want = slow_forms([d for d in docs if d[0] != 4])
     got = rows_of(spelling.spelling_forms(frame(docs[:-1])))

@@ -155,3 +155,55 @@ FROM messages m JOIN own o ON m.conv_id = o.conv_id AND m.turn = o.turn
 LEFT JOIN parents p ON m.conv_id = p.conv_id AND m.turn = p.turn
 LEFT JOIN roots r ON m.conv_id = r.conv_id AND m.turn = r.turn
 """
+
+ORACLE["op13_phrase_collocations"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+pieces AS (
+    SELECT d, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece,
+           generate_subscripts(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]'), 1) AS p
+    FROM docs),
+lists AS (SELECT d, lang, p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT d, lang, p, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM lists),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+runs AS (
+    SELECT lang, w AS w1, lead(w, 1) OVER here AS w2, lead(w, 2) OVER here AS w3,
+           lead(w, 3) OVER here AS w4, lead(w, 4) OVER here AS w5
+    FROM words WINDOW here AS (PARTITION BY d, p ORDER BY i)),
+phrases AS (
+    SELECT lang, w1 AS phrase, 1 AS m FROM runs
+    UNION ALL SELECT lang, w1 || ' ' || w2, 2 FROM runs WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3 FROM runs WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4 FROM runs
+        WHERE w4 IS NOT NULL
+    UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5, 5 FROM runs
+        WHERE w5 IS NOT NULL),
+counts AS (
+    SELECT lang, phrase, m, count(*) AS f FROM phrases GROUP BY lang, phrase, m
+    HAVING count(*) >= 100),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+held AS (
+    SELECT DISTINCT s.lang, s.phrase
+    FROM candidates s JOIN candidates l ON s.lang = l.lang AND l.m > s.m
+        AND contains(' ' || l.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * l.a >= 100 * s.a),
+cuts AS (
+    SELECT lang, phrase, m, a, w, unnest(range(1, m)) AS k
+    FROM candidates ANTI JOIN held USING (lang, phrase)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+           CAST((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:m], ' ')
+    JOIN totals t ON t.lang = c.lang),
+lowest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM lowest
+QUALIFY rank <= 2000
+"""

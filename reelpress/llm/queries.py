@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelpress.llm import (
     byte_bpe,
     chat,
+    collocations,
     exact_dedup,
     language_id,
     line_dedup,
@@ -18,6 +19,7 @@ from reelpress.llm import (
     simhash,
     spelling,
     token_output,
+    toxicity,
     url_filter,
 )
 from reelpress.llm.comparison_sql import ORACLE
@@ -129,6 +131,21 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    return toxicity.toxicity(docs, labels).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_forms(table(spark, folder, "documents"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("text", "lang")
+    return collocations.mine_collocations(docs)

@@ -54,7 +54,7 @@ def test_against_sql(spark, con, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 
 

@@ -1,0 +1,146 @@
+"""Toxicity: the grammar against a plain reading of clauses, learning, and held-out accuracy."""
+
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from reelpress.llm import toxicity
+from reelpress.llm.queries import QUERIES
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def marks(text, lexicon=()):
+    """(match, marks) of a text by the composed grammar."""
+    table, state, out = toxicity.grammar(), 0, []
+    classes = toxicity._Classes(toxicity._weights([], [], [], 0, 0, 0) | dict(lexicon))
+    for tokens in toxicity.portions(text):
+        for token in tokens:
+            state, symbol = table[state, classes[token][0]]
+            if symbol & 15 in (toxicity.INSULT, toxicity.MADE):
+                out.append((symbol & 15, symbol & ~15))
+    return out
+
+
+def plain_marks(text):
+    """The same by looking back over each match's sentence and clause."""
+    out, kind = [], lambda w: toxicity._KNOWN.get(w, toxicity.OTHER)
+    for sentence in re.split(r"[.!?\n]", text.lower()):
+        said = False
+        for clause in re.split("[,;:]", sentence):
+            words = re.findall(r"[^\W\d_]+", clause)
+            threat = 0
+            aimed = False
+            negated_upto = -1
+            for i, w in enumerate(words):
+                k = kind(w)
+                made = k == toxicity.TARGET and threat == 2
+                if k == toxicity.INTENT:
+                    threat = max(threat, 1)
+                if k == toxicity.THREAT and threat:
+                    threat = 2
+                if k == toxicity.INSULT or made:
+                    mark = toxicity.NEGATED * (i <= negated_upto) | toxicity.REPORTED * said
+                    mark |= toxicity.AIMED * (aimed or made)
+                    out.append((toxicity.MADE if made else k, mark))
+                if made:
+                    threat = 1
+                if k == toxicity.NEGATION:
+                    negated_upto = i + 3
+                said = said or k == toxicity.REPORT
+                aimed = aimed or k == toxicity.TARGET
+    return out
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("what an idiot", [(1, 0)]),
+        ("you idiot", [(1, toxicity.AIMED)]),
+        ("you, idiot", [(1, 0)]),
+        ("he is not an idiot", [(1, toxicity.NEGATED | toxicity.AIMED)]),
+        ("not one of the usual idiot", [(1, 0)]),
+        ("somebody said: idiot. idiot", [(1, toxicity.REPORTED), (1, 0)]),
+        ("we will kill you", [(toxicity.MADE, toxicity.AIMED)]),
+        ("kill you", []),
+        ("we will, kill you", []),
+        ("idiotic", []),
+    ],
+)
+def test_clauses(text, want):
+    assert marks(text) == want == plain_marks(text)
+
+
+def test_composition_is_the_plain_reading():
+    rng = random.Random(3)
+    words = [w for kind in toxicity.WORDS.values() for w in kind.split()[:3]] + ["a", "b", ",", ":", ".", "!"]
+    for _ in range(300):
+        text = " ".join(rng.choices(words, k=25))
+        assert marks(text) == plain_marks(text)
+
+
+def test_portions_do_not_change_features(monkeypatch):
+    text = "You idiot, they said. Not stupid, no; we will kill you\n" * 40
+    table, lexicon = toxicity.grammar(), toxicity._weights([], [], [], 0, 0, 0)
+    whole = toxicity.features(text, toxicity._Classes(lexicon), table)
+    monkeypatch.setattr(toxicity, "PORTION", 11)
+    assert np.allclose(toxicity.features(text, toxicity._Classes(lexicon), table), whole)
+
+
+def corpus(seed, n=900):
+    """Plain words; toxic texts have words of unknown stems, at other places and with other ends."""
+    rng = random.Random(seed)
+    stem = lambda: "".join(rng.choices("bdfgklmnprst", k=1) + rng.choices("aeiou", k=1) for _ in range(0)) or "".join(
+        rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)
+    )
+    words, bad = [stem() for _ in range(400)], ["zuquax", "vejwo"]
+    rows = []
+    for i in range(n):
+        text = rng.choices(words, k=rng.randrange(20, 90))
+        toxic = int(rng.random() < 0.15)
+        for _ in range(3 * toxic):
+            text.insert(rng.randrange(len(text)), rng.choice(bad) + rng.choice(["", "ta", "mo", "rik"]))
+        rows.append((i, " ".join(text), toxic))
+    return rows
+
+
+def test_learns_stems_without_held_out_rows(spark):
+    rows = corpus(1)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    held = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all(got[i].predicted == rows[i][2] for i in held)
+    # labels of held-out rows change nothing
+    flipped = spark.createDataFrame([(i, 1 - y if i in set(held) else y) for i, _, y in rows], "doc_id long, toxic int")
+    again = {r.doc_id: r.score for r in toxicity.toxicity(docs, flipped).collect()}
+    assert all(abs(again[i] - got[i].score) < 1e-9 for i in again)
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None, 9.0), (2, "", 9.0), (2, "you idiot. you stupid moron", 9.0), (None, "fine words " * 200_000, 9.0)],
+        "doc_id long, text string, score double",
+    )
+    labels = spark.createDataFrame([(2, 1), (2, None), (2, 0), (None, 1), (7, 0)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, labels)
+    rows = got.collect()
+    assert got.columns == ["doc_id", "text", "score", "predicted"] and len(rows) == 4
+    assert all(0 <= r.score <= 1 for r in rows)
+    none = toxicity.toxicity(docs, labels.where("false")).collect()
+    assert {r.text and r.text[:3]: r.predicted for r in none} == {None: 0, "": 0, "you": 1, "fin": 0}
+    assert toxicity.toxicity(docs.where("false"), labels).count() == 0
+
+
+def test_query_on_held_out_rows(spark):
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = QUERIES["op11_toxicity"](spark, FOLDER).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for r in rows)
+    told = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    assert np.mean([p == y for p, y in told]) >= 0.9
+    assert not any(p and not y for p, y in told)

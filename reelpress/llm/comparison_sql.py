@@ -197,7 +197,7 @@ scored AS (
            CAST((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
     FROM cuts c
     JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
-    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:m], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.m], ' ')
     JOIN totals t ON t.lang = c.lang),
 lowest AS (
     SELECT * FROM scored

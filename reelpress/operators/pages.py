@@ -181,25 +181,91 @@ def explode_keywords(
     return once.withColumn(out, F.explode(found)).drop(*lowered)
 
 
-def explode_stock_keywords(
+def grams(text: Column, q: int = 3) -> Column:
+    """All distinct substrings of one to ``q`` characters, in linear work."""
+    # the text's characters once, as a variable that every place can look into
+    def pieces(chars: Column) -> Column:
+        def of(n: int) -> Column:
+            def at(_: Column, i: Column) -> Column:
+                whole = F.concat(*[F.get(chars, i + k) for k in range(n)])
+                return F.when(i + n <= F.size(chars), whole)
+
+            return F.transform(chars, at)
+
+        made = F.flatten(F.array(*map(of, range(1, q + 1))))
+        return F.array_distinct(F.filter(made, lambda g: g.isNotNull()))
+
+    chars = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "", -1))
+    return F.get(F.transform(F.array(F.filter(chars, lambda c: c != "")), pieces), F.lit(0))
+
+
+def match_keywords(
     df: DataFrame,
     columns: Sequence[str],
-    stocks: DataFrame,
+    keywords: DataFrame,
     out: str = "keyword",
-    most: int = 10_000,
+    q: int = 3,
+    rarity_share: float = 0.05,
+) -> DataFrame:
+    """One row per row of ``df`` and keyword of a *table* found in any of the columns.
+
+    An inverted index of character grams: each keyword is filed under one of its grams of ``q`` characters,
+    the rarest in a share of the texts (that choice changes the work, not the result); a shorter one
+    under itself. Texts send their distinct grams with a hash, and what meets there is looked for exactly
+    in the rows of that hash. There is no limit to the keywords and no row is compared with all of
+    them. Case is ignored; null and empty keywords and rows without a match go; repeated keywords
+    count once.
+    """
+    lowered = {f"_lower_{name}": F.lower(F.coalesce(name, F.lit(""))) for name in columns}
+    once = X.compute_once(df, **lowered)
+    keyed = once.withColumn("_texts", F.xxhash64(*lowered))
+    words = (
+        keywords.select(F.col(out).alias("_word"))
+        .filter("_word != ''")
+        .distinct()
+        .withColumn("_needle", F.lower("_word"))
+    )
+    sent = keyed.select(
+        "_texts", F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(c), q) for c in lowered])))).alias("_gram")
+    )
+    sampled = F.pmod(F.xxhash64("_texts"), F.lit(1000)) < F.lit(int(1000 * rarity_share))
+    common = sent.filter(sampled).groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    longest = F.least(F.length("_needle"), F.lit(q))
+    filed = (
+        words.select("_word", "_needle", F.explode(grams(F.col("_needle"), q)).alias("_gram"))
+        .filter(F.length("_gram") == longest)
+        .join(common, "_gram", "left")
+        .groupBy("_word", "_needle")
+        .agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    )
+    met = sent.join(filed, "_gram").select("_texts", "_word", "_needle").distinct()
+    holds = F.lit(False)
+    for column in lowered:
+        holds = holds | F.contains(column, F.col("_needle"))
+    return keyed.join(met, "_texts").filter(holds).withColumn(out, F.col("_word")).drop(
+        *lowered, "_texts", "_word", "_needle"
+    )
+
+
+def explode_stock_keywords(
+    df: DataFrame, columns: Sequence[str], stocks: DataFrame, out: str = "keyword"
 ) -> DataFrame:
     """One row per stock and keyword of it found in any of the columns, with ``stock_name``.
 
-    ``stocks`` has ``name`` and ``keywords``. The keywords are looked for inside each row, so the
-    dimension is fetched; beyond ``most`` keywords that is refused.
+    ``stocks`` has ``name`` and ``keywords``, any number of them.
     """
     pairs = stocks.select(
         F.col("name").alias("stock_name"), F.explode("keywords").alias(out)
     ).filter(F.col(out) != "").distinct()
-    listed = sorted({row[1] for row in pairs.limit(most + 1).collect()})
-    if len(listed) > most:
-        raise ValueError(f"more than {most} keywords")
-    return explode_keywords(df, columns, listed, out).join(pairs, out)
+    return match_keywords(df, columns, pairs, out).join(pairs, out)
+
+
+def stock_articles(
+    parsed: DataFrame, stocks: DataFrame, source: Column, run_time: Column
+) -> DataFrame:
+    """Raw article rows for the article flow: every parsed page once per stock keyword it is about."""
+    hits = explode_stock_keywords(parsed, ["title", "content"], stocks)
+    return _article_rows(hits, source, run_time, "stock_name")
 
 
 def extract_articles(
@@ -210,10 +276,14 @@ def extract_articles(
     Expects ``url``, ``title`` and ``content``. The full text stays in ``full_content``;
     ``content`` is its preview.
     """
-    hits = explode_keywords(parsed, ["title", "content"], keywords)
+    return _article_rows(explode_keywords(parsed, ["title", "content"], keywords), source, run_time)
+
+
+def _article_rows(hits: DataFrame, source: Column, run_time: Column, *more: str) -> DataFrame:
     digest = X.content_hash(F.col("title"), F.col("content"))
     hits = X.compute_once(hits, content_hash=digest)
     return hits.select(
+        *more,
         source.alias("source"),
         "keyword",
         "title",

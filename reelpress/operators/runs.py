@@ -90,9 +90,8 @@ def nearest_success(
 
     An as-of join without a range join. The time line of a key is cut into stretches of a
     thousandth of the age limit, one second at least. The latest success of each stretch is a
-    partial maximum; carried forward over the key's stretches, one row each, it tells what a
-    stretch begins with. Runs then need only the successes of their own stretch, so a busy key
-    is spread over as many groups as it has stretches.
+    partial maximum; ``carried_forward`` tells what a stretch begins with. Runs then need only the
+    successes of their own stretch, so a busy key is spread over as many groups as it has stretches.
     """
     width = max(1_000_000, max_age_hours * 3600 * 1000)
     stretch = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width))
@@ -106,15 +105,11 @@ def nearest_success(
         F.col(ts).alias("success_at"),
     )
     both = asked.unionByName(given)
-    earlier = (
-        Window.partitionBy("_key").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    latest = both.groupBy(F.col(key).alias("_key"), F.col("stretch").alias("_stretch")).agg(
+        F.max("success_at").alias("_latest")
     )
-    begins = (
-        both.groupBy(F.col(key).alias("_key"), F.col("stretch").alias("_stretch"))
-        .agg(F.max("success_at").alias("_latest"))
-        .withColumn("_carried", F.last("_latest", ignorenulls=True).over(earlier))
-        .filter(F.col("_carried").isNotNull())
-        .select("_key", "_stretch", "_carried")
+    begins = carried_forward(latest, "_key", "_stretch", "_latest").select(
+        "_key", "_stretch", F.col("carried").alias("_carried")
     )
     # at equal times the upstream row comes first
     line = (
@@ -132,6 +127,47 @@ def nearest_success(
     return found.select(key, id, ts, F.when(young, F.col("upstream_ts")).alias("upstream_ts"))
 
 
+#: places of one level of the tree of stretches that make one place of the next
+FAN = 1 << 15
+#: levels; FAN ** LEVELS places of a second hold every timestamp there is
+LEVELS = 3
+
+
+def carried_forward(df: DataFrame, key: str, place: str, value: str) -> DataFrame:
+    """Rows (key, place) with ``carried``, the value of the key's last earlier place that has one.
+
+    Places are whole numbers, one row each; rows without an earlier value go. Values are carried in a tree:
+    within the next level's place first, and that place's own carried value where nothing came
+    before within it. A window holds at most ``FAN`` rows, so a key with millions of places is dealt
+    over all tasks; no window is partitioned by the key alone.
+    """
+    middle = FAN**LEVELS // 2  # in the middle of the only place of the last level
+    level = df.select(key, (F.col(place) + middle).alias("_p0"), F.col(value).alias("_v"))
+    tables = []
+    for i in range(LEVELS):
+        above = F.floor(F.col(f"_p{i}") / F.lit(FAN)).alias(f"_p{i + 1}")
+        earlier = (
+            Window.partitionBy(key, f"_p{i + 1}")
+            .orderBy(f"_p{i}")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        level = level.select("*", above)
+        tables.append(level.withColumn(f"_c{i}", F.last("_v", ignorenulls=True).over(earlier)))
+        level = level.groupBy(key, f"_p{i + 1}").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(f"_p{i}"))).alias("_v"))
+    carried = tables[-1].drop("_v")
+    for i in reversed(range(LEVELS - 1)):
+        over = carried.select(
+            F.col(key).alias("_over"), F.col(f"_p{i + 1}").alias("_at"), F.col(f"_c{i + 1}").alias("_from")
+        ).filter(F.col("_from").isNotNull())
+        same = F.col(key).eqNullSafe(F.col("_over")) & (F.col(f"_p{i + 1}") == F.col("_at"))
+        carried = tables[i].join(over, same, "left").select(
+            key, f"_p{i}", F.coalesce(f"_c{i}", "_from").alias(f"_c{i}")
+        )
+    return carried.filter(F.col("_c0").isNotNull()).select(
+        key, (F.col("_p0") - middle).alias(place), F.col("_c0").alias("carried")
+    )
+
+
 def stage_counters(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
     """One row with the number of rows for which each stage's condition holds."""
     return df.agg(

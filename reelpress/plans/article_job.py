@@ -22,6 +22,18 @@ from reelpress.sinks.files import replace_partitions, write_parquet
 from reelpress.sources.files import empty, read_parquet
 
 
+#: a run's line in its log
+RUN_LINE = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("articles_extracted", T.IntegerType()),
+        T.StructField("articles_analyzed", T.IntegerType()),
+    ]
+)
+
+
 class ArticleTables(NamedTuple):
     articles: DataFrame
     scores: DataFrame
@@ -111,12 +123,14 @@ def run_article_job(
 ) -> DataFrame:
     """One run over the tables below ``root``; returns its line of the run log.
 
-    New articles are scored once and written; the tables follow from what was written. Articles,
-    scores and tracking grow by a directory per ``version`` (repeating a version replaces it),
-    of aggregates only the dates of the run are rewritten.
+    New articles are scored once and written; the tables follow from what was written, URL tracking last.
+    Articles, scores and tracking grow by a directory per ``version`` (repeating a version replaces
+    it), of aggregates only the dates of the run are rewritten. The line of the run log makes a version count:
+    it is taken away first and written at the end, so what a failed run left behind is read by no later one, and
+    its URLs come again.
     """
     root = root.rstrip("/")
-    earlier = lambda name, spec: _versions_before(spark, f"{root}/{name}", spec.schema, version)
+    earlier = lambda name, spec: complete_rows(spark, root, name, spec.schema, version)
     articles = earlier("articles", schemas.ARTICLES_TABLE)
     tracking = earlier("url_tracking", schemas.URL_TRACKING_TABLE)
     known = articles.select(F.col("article_hash").alias("content_hash"))
@@ -127,21 +141,27 @@ def run_article_job(
         write_parquet(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
-    marked = extracted.select("stock_name", "url").withColumn("processed_at", now)
-    done = written(marked, "url_tracking")
+    written(empty(spark, RUN_LINE), "run_events")
     records = written(sentiment_records(fresh, lexicon, now), "records")
     written(A.article_rows(records, now), "articles")
     written(A.score_rows(records, now), "scores")
     # what earlier runs of the same date scored counts too, so a date may come in several runs
-    before = _versions_before(spark, f"{root}/records", records.schema, version)
+    before = complete_rows(spark, root, "records", records.schema, version)
     of_date = before.filter(F.to_date("analysis_timestamp") == run_date).unionByName(records)
-    aggregates = A.aggregate_rows(sentiment_by_key(of_date), run_date, F.lit(f"{root}/records"), now)
+    place = F.lit(f"{root}/records")
+    aggregates = A.aggregate_rows(sentiment_by_key(of_date), run_date, place, now)
     kept = read_parquet(spark, f"{root}/aggregates", schemas.AGGREGATE_SCORES_TABLE.schema)
     of_run = kept.filter(F.col("date") == run_date)
     merged = M.upsert(of_run, aggregates, ["keyword", "date"], ["created_at"])
+    # a row of this job that no complete run accounts for is what a failed one left
+    stale = (F.col("s3_sentiment_data_path") == place) & F.col("_counted").isNull()
+    counted = aggregates.select("keyword", F.lit(True).alias("_counted"))
+    merged = merged.join(counted, "keyword", "left").filter(~F.coalesce(stale, F.lit(False)))
     # the date read is the date replaced, so it is written beside the table first
-    staged = written(merged, "aggregates_of_runs")
+    staged = written(merged.select(*kept.columns), "aggregates_of_runs")
     replace_partitions(staged, f"{root}/aggregates", ["date"])
+    marked = extracted.select("stock_name", "url").withColumn("processed_at", now)
+    done = written(marked, "url_tracking")
     log = spark.range(1).select(
         F.lit(str(version)).alias("run_id"),
         now.alias("event_time"),
@@ -152,13 +172,17 @@ def run_article_job(
     return written(log, "run_events")
 
 
-def _versions_before(
-    spark: SparkSession, path: str, schema: T.StructType, version: int
+def complete_rows(
+    spark: SparkSession, root: str, name: str, schema: T.StructType, before: int | None = None
 ) -> DataFrame:
-    """Rows of a table's earlier versions; the directories of others are not read."""
-    wide = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    rows = read_parquet(spark, path, wide)
-    return rows.filter(F.col("version") < version).select(*schema.fieldNames())
+    """Rows of a table's versions whose run has its line in the log, earlier ones only if asked."""
+    number = T.StructField("version", T.LongType())
+    rows = read_parquet(spark, f"{root}/{name}", T.StructType([*schema.fields, number]))
+    if before is not None:
+        rows = rows.filter(F.col("version") < before)
+    log = read_parquet(spark, f"{root}/run_events", T.StructType([*RUN_LINE.fields, number]))
+    whole = log.filter(F.col("status") == "SUCCESS").select("version").distinct()
+    return rows.join(whole, "version", "left_semi").select(*schema.fieldNames())
 
 
 def run_report(spark: SparkSession, root: str) -> DataFrame:

@@ -410,6 +410,48 @@ def feed_posts_by_keyword(t: Tables):
     )
 
 
+#: the words of the benchmark texts play a large keyword table
+_WORD_TABLE = """words AS (
+    SELECT DISTINCT unnest(string_split_regex(text, '[^\\p{L}]+')) AS keyword FROM benchmark),
+    held AS (SELECT keyword, lower(keyword) AS needle FROM words WHERE keyword <> '')"""
+
+
+def _word_table(t: Tables):
+    return t.benchmark.select(F.explode(F.split("text", r"[^\p{L}]+")).alias("keyword"))
+
+
+@query(
+    "D10 C5",
+    f"""WITH {_WORD_TABLE}
+        SELECT page_id, keyword FROM pages JOIN held
+          ON contains(lower(url), needle) OR contains(lower(html), needle)""",
+)
+def keyword_index_matches(t: Tables):
+    hits = P.match_keywords(t.pages, ["url", "html"], _word_table(t))
+    return hits.select("page_id", "keyword")
+
+
+@query(
+    "D10 J4 A15",
+    f"""WITH {Q.READ_PAGES}, {_WORD_TABLE},
+        stocks AS (SELECT DISTINCT 'stock ' || substring(needle, 1, 1) AS stock_name, keyword, needle
+                   FROM held WHERE length(keyword) > 3)
+        SELECT stock_name, keyword, url, title, md5(concat(title, content)) AS content_hash
+        FROM read_pages JOIN stocks
+          ON contains(lower(title), needle) OR contains(lower(content), needle)""",
+)
+def page_articles_by_stock(t: Tables):
+    letter = F.substring(F.lower("keyword"), 1, 1)
+    stocks = (
+        _word_table(t)
+        .filter(F.length("keyword") > 3)
+        .groupBy(F.concat(F.lit("stock "), letter).alias("name"))
+        .agg(F.collect_set("keyword").alias("keywords"))
+    )
+    rows = P.stock_articles(P.read_pages(t.pages), stocks, F.lit("pages"), _run_time())
+    return rows.select("stock_name", "keyword", "url", "title", "content_hash")
+
+
 # ---- sentiment ---------------------------------------------------------------------------
 
 

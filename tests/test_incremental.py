@@ -136,6 +136,55 @@ def test_flow_in_increments_equals_one_batch(spark, tmp_path, lexicon):
     assert flow_rows(spark, f"{tmp_path}/flow_steps") == whole
 
 
+@pytest.mark.parametrize("step", [2, 6, 8])
+def test_a_failed_run_loses_nothing(spark, tmp_path, lexicon, monkeypatch, step):
+    """Whichever write fails, the next version brings the tables of a run without failure."""
+
+    def raw(seqs):
+        return articles(spark, seqs).selectExpr(
+            "seq", "title", "content", "keyword", "keyword AS stock_name", "concat('u', seq) AS url",
+            "CAST(NULL AS STRING) AS s3_raw_content_path", "'s' AS source",
+        )
+
+    now, day = F.lit("2024-02-01 06:30:00").cast("timestamp"), F.lit("2024-02-01").cast("date")
+    bad, good = f"{tmp_path}/bad", f"{tmp_path}/good"
+    for root in (bad, good):
+        J.run_article_job(spark, raw([0, 1]), root, 0, lexicon, now, day)
+    calls, write, replace = [], J.write_parquet, J.replace_partitions
+
+    def counted(real):
+        def one(df, path, *rest):
+            calls.append(path)
+            if len(calls) == step:
+                raise OSError("the store is gone")
+            real(df, path, *rest)
+
+        return one
+
+    with monkeypatch.context() as patched:
+        patched.setattr(J, "write_parquet", counted(write))
+        patched.setattr(J, "replace_partitions", counted(replace))
+        with pytest.raises(OSError):
+            # the failed run saw rows that do not come again
+            J.run_article_job(spark, raw(list(range(2, 9))), bad, 1, lexicon, now, day)
+    assert len(calls) == step
+    for root in (bad, good):
+        J.run_article_job(spark, raw([2, 3, 4]), root, 2, lexicon, now, day)
+
+    def rows(root, name, spec, columns):
+        found = J.complete_rows(spark, root, name, spec.schema)
+        return sorted(tuple(map(str, r)) for r in found.select(*columns).collect())
+
+    for name, spec, columns in (
+        ("articles", J.schemas.ARTICLES_TABLE, ["article_hash", "keyword", "url"]),
+        ("url_tracking", J.schemas.URL_TRACKING_TABLE, ["stock_name", "url"]),
+    ):
+        assert rows(bad, name, spec, columns) == rows(good, name, spec, columns)
+    both = [flow_rows(spark, root)["aggregates"] for root in (bad, good)]
+    assert both[0] == both[1]
+    assert [r.run_id for r in J.run_report(spark, bad).orderBy("run_id").collect()] == ["0", "2"]
+
+
 def test_flow_attaches_content_and_upserts_dates(spark, lexicon):
     now, day = F.lit("2024-02-01 06:30:00").cast("timestamp"), F.lit("2024-02-01").cast("date")
     raw = articles(spark, [1, 2]).selectExpr(

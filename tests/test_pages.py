@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,5 +144,28 @@ def test_keywords_of_a_stock_table(spark):
     assert sorted((r.n, r.stock_name, r.keyword) for r in got) == [
         (1, "A", "acme"), (2, "A", "shared"), (2, "B", "shared"),
     ]
-    with pytest.raises(ValueError, match="more than 1"):
-        P.explode_stock_keywords(df, ["a"], stocks, most=1)
+
+
+def test_keyword_table_by_brute_force(spark):
+    """Short and long keywords, repeated rows, equal texts, case, surrogate pairs and clashing names."""
+    rng = random.Random(4)
+    letters = "aab bcÉé😀"
+    text = lambda n: "".join(rng.choices(letters, k=n))
+    rows = [(i % 40, text(rng.randrange(60)), rng.choice([None, "", text(9)])) for i in range(60)]
+    rows += rows[:3]
+    words = [text(rng.randrange(7)) for _ in range(200)] + [None, "", "B", "É"]
+    df = spark.createDataFrame(rows, "n int, a string, _gram string")
+    table = spark.createDataFrame([(w,) for w in words], "keyword string")
+    got = P.match_keywords(df, ["a", "_gram"], table, rarity_share=0.5)
+    assert got.columns == [*df.columns, "keyword"]
+    want = [
+        (*r, w) for r in rows for w in {w for w in words if w}
+        if any(w.lower() in (x or "").lower() for x in r[1:])
+    ]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    assert P.match_keywords(df, ["a"], table.where("false")).count() == 0
+
+
+def test_long_text_grams_are_linear(spark):
+    long = spark.range(1).select(F.repeat(F.lit("abcé "), 400_000).alias("t"))
+    assert long.select(F.size(P.grams(F.col("t")))).first()[0] == 15

@@ -1,3 +1,4 @@
+import re
 """Merges, runs, reports, checks."""
 
 import datetime as dt
@@ -188,3 +189,23 @@ def test_checks(spark):
     assert set(schemas.RESULT_TABLES) == {
         "articles", "sentiment_scores", "aggregate_scores", "pipeline_runs", "url_tracking",
     }
+
+
+def test_carried_forward_by_brute_force(spark, monkeypatch):
+    """With three places to a window every level of the tree is used."""
+    monkeypatch.setattr(W, "FAN", 3)
+    rng = random.Random(5)
+    places = {k: sorted(rng.sample(range(-13, 13), 14)) for k in ("a", "b", None)}
+    rows = [(k, p, rng.choice([None, None, p * 10])) for k, found in places.items() for p in found]
+    df = spark.createDataFrame(rows, "k string, place long, value long")
+    want = set()
+    for k, found in places.items():
+        values = {p: v for key, p, v in rows if key == k}
+        for p in found:
+            before = [values[q] for q in found if q < p and values[q] is not None]
+            want |= {(k, p, before[-1])} if before else set()
+    got = W.carried_forward(df, "k", "place", "value")
+    assert {tuple(r) for r in got.collect()} == want
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = re.findall(r"windowspecdefinition\(k#\d+, _p\d", text)
+    assert windows and len(windows) == text.count("windowspecdefinition(k#")

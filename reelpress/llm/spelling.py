@@ -209,10 +209,12 @@ def _by_trie(words: DataFrame, min_length: int) -> DataFrame:
             F.substring("form", 1, depth).alias("node"),
         )
         if frontier is not None:
-            # a level may be broadcast, so partitions would add up from level to level
-            here = here.unionByName(frontier.coalesce(spark.sparkContext.defaultParallelism))
+            here = here.unionByName(frontier)
         level = trie.where(F.col("depth") == depth).drop("depth")
-        stepped = _step(here, level, depth).checkpoint()
+        path = f"{folder}/level-{depth}"
+        stepped = _step(here, level, depth)
+        stepped.write.parquet(path)
+        stepped = spark.read.schema(stepped.schema).parquet(path)
         found.append(stepped.where("found IS NOT NULL"))
         frontier = stepped.where("found IS NULL").drop("found")
     every = found[0]

@@ -5,8 +5,9 @@ languages and a fixed pseudo-random code beyond. One linear classifier per bit,
 character n-grams, predicts the bits of a text. Decoding adds up, per language, the logistic
 loss of each bit's margin against its codeword, weighted by how well that bit was told for that
 language in training; the language with the least loss is nearest. A text is ambiguous if the
-runner-up comes within ``MARGIN`` of it. It fits if the nearest codeword's weighted loss is below log 2, that
-of bits told by tossing a coin; one that does not is in no language that was learned.
+runner-up comes within ``MARGIN`` of it. It fits if the nearest codeword's weighted loss is below ``MAX_LOSS``:
+log 2 is that of tossed coins, which texts of two languages reach, and far more means bits that firmly contradict
+every language that was learned.
 
 The classifiers are fitted on the driver on a bounded sample: at most ``SAMPLE_PER_LANGUAGE``
 labelled texts of each language and ``SAMPLE`` in all, chosen by a hash of their ids, as feature vectors of ``FEATURES``
@@ -35,12 +36,14 @@ from reelpress.llm.common import without
 SAMPLE_PER_LANGUAGE = 500
 #: Labelled texts that are learned from in all, at most; so many ids are broadcast.
 SAMPLE = 10_000
-#: Different labels, at most; so many counts are broadcast.
+#: Different labels that are learned, at most, the most frequent ones; so many counts are broadcast.
 MAX_LANGUAGES = 1000
 #: Texts whose features are held at a time.
 TEXTS = 250
 FEATURES = 2048
 MARGIN = 0.2
+#: Weighted loss of the nearest codeword from which a text fits no language.
+MAX_LOSS = 2.0
 #: Characters that are counted at a time.
 BLOCK = 1 << 19
 #: Stretches the features, which are small, so that gradient steps of order one suit them.
@@ -144,9 +147,8 @@ def train(
     """The model of a bounded sample of ``labelled``; None if it has no text with a letter."""
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = known.groupBy(F.col(lang).alias("of")).agg(F.count("*").alias("n"))
+    counts = counts.orderBy(F.desc("n"), "of").limit(MAX_LANGUAGES)  # rarer ones are not learned
     languages = counts.count()
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"{languages} languages; at most {MAX_LANGUAGES} can be told apart")
     most = min(per_language, SAMPLE // max(1, languages))
     # a few times as many ids as wanted, by their hash, whatever the number of rows or tasks
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
@@ -228,7 +230,7 @@ def _tell(texts: pd.Series, letters: np.ndarray, known: Model) -> pd.DataFrame:
         best = losses.argmin(axis=1)
         odds = np.exp(-2 * (losses - losses.min(axis=1, keepdims=True)))
         near = np.sort(losses, axis=1)
-        fits[at] = near[:, 0] < np.log(2)
+        fits[at] = near[:, 0] < MAX_LOSS
         names[at] = np.array(known.languages, object)[best]
         scores[at] = 1 / odds.sum(axis=1)
         unsure[at] = near[:, 1] - near[:, 0] < MARGIN if near.shape[1] > 1 else False

@@ -60,3 +60,43 @@ def test_language_stage_fills_labels(spark):
     rows = [(i, f"{de if i % 2 else en} {i}", None if i > 80 else ("de" if i % 2 else "en"), "x", 1) for i in range(90)]
     got = corpus_pipeline.language(spark, spark.createDataFrame(rows, COLUMNS), "").collect()
     assert {r.doc_id: r.lang for r in got} == {i: "de" if i % 2 else "en" for i in range(90)}
+
+
+def test_decoding_by_brute_force_and_what_does_not_fit():
+    """Losses summed bit by bit; a text whose bits contradict every codeword does not fit."""
+    import numpy as np
+    import pandas as pd
+
+    from reelpress.llm import language_id as L
+
+    rng = np.random.default_rng(3)
+    code = L.codewords(4)
+    trust = rng.random(code.shape)
+    trust /= trust.sum(axis=1, keepdims=True)
+    model = L.Model(list("abcd"), code, rng.normal(0, 9, (L.FEATURES, code.shape[1])), np.zeros(code.shape[1]), trust)
+    letters = L.letter_table()
+    texts = ["some words of a text", "Другой текст", "x", "12", None, ""]
+    told = L._tell(pd.Series(texts, dtype=object), letters, model)
+    for text, (lang, score, ambiguous, fits) in zip(texts, told.itertuples(index=False), strict=True):
+        x = None if text is None else L.features(text, letters)
+        if x is None:
+            assert (lang, score, bool(fits)) == (L.UNKNOWN, 0.0, False)
+            continue
+        margins = x @ model.weights
+        losses = [
+            sum(trust[c, b] * np.log1p(np.exp(-margins[b] * code[c, b])) for b in range(code.shape[1]))
+            for c in range(4)
+        ]
+        order = sorted(range(4), key=losses.__getitem__)
+        assert lang == "abcd"[order[0]] and bool(fits) == (losses[order[0]] < L.MAX_LOSS)
+        assert bool(ambiguous) == (losses[order[1]] - losses[order[0]] < L.MARGIN)
+        assert abs(score - 1 / sum(np.exp(-2 * (l - losses[order[0]])) for l in losses)) < 1e-6
+
+
+def test_more_labels_than_are_learned(spark, monkeypatch):
+    from reelpress.llm import language_id as L
+
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    rows = [(i, f"{'ab' if i % 3 else 'cd'} words {'ef' * (i % 3)}", "p" if i % 3 else "q" if i % 2 else "r", "x", 1) for i in range(60)]
+    model = L.train(spark.createDataFrame(rows + [(99, "lone", "zz", "x", 1)], COLUMNS))
+    assert model.languages == ["p", "q"]

@@ -5,8 +5,8 @@ the last one the pieces of windows. Between stages the rows are written as Parqu
 all executors share and read again, so a lost executor costs no more than the running stage.
 
 * quality rules: documents that fail go, failing lines of the others go from their texts;
-* language ID: documents without a language go: null, no letter, or further from every learned language's
-  codeword than tossed coins would be; a missing label is filled with the predicted language. If no label was
+* language ID: documents without a language go: null, no letter, or so far from every learned language's
+  codeword that ``language_id`` says they do not fit; a missing label is filled with the predicted language. If no label was
   learned from, every text with a letter stays and null labels stay null;
 * line dedup: repeated lines go, except in the smallest doc_id; a document that loses all its
   text goes, since nothing is left of it to pack;
@@ -62,8 +62,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    told = language_id.identify(_carried(docs))
-    kept = told.where("fits")
+    told = language_id.identify(_carried(docs)).select("row", "lang", "lang_pred", "fits")
+    kept = compute_once(told, fits=F.col("fits"), lang_pred=F.col("lang_pred")).where("fits")
     label = F.coalesce("lang", F.nullif(F.col("lang_pred"), F.lit(language_id.UNKNOWN)))
     return _rows(kept.withColumn("lang", label), docs, label="lang")
 

@@ -66,10 +66,10 @@ def encoder(path: str) -> Callable[[str], bytes]:
     """Function from a text to its ids, as little-endian unsigned 32-bit numbers.
 
     ``path`` is a byte-level BPE file. Words are given to the file's model, other texts to the whole
-    tokenizer. Strings of special tokens in a text are ordinary text.
+    tokenizer, as are texts with a string of an added token, which is one id, as the library's plain call has it.
     """
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
     model, letters = tokenizer.model, byte_letters()
     model._resize_cache(0)  # this module has its own
 
@@ -80,7 +80,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
     words = _Words(by_model)
 
     def encode(text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
+        if any(token in text for token in added) or not _PLAIN.fullmatch(text):
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(words) > CACHE_WORDS:
             for word in list(islice(words, CACHE_WORDS // 2, None)):

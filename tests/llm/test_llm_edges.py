@@ -487,3 +487,15 @@ def test_large_ids_beside_nulls_stay_exact(spark, frame):
     assert {(r.doc_id, r.keep_id) for r in kept} == {(big, big + 1), (big + 1, big + 1), (None, None)}
     same = frame([(big, "some more words"), (None, "some more words")])
     assert {r.component_id for r in simhash.near_duplicates(same).collect()} == {big}
+
+
+def test_added_tokens_are_the_library_s_plain_call(frame):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>é", "<|endoftext|", "plain"]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = packing.pack_documents(frame(enumerate(texts))).collect()
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert 50256 in got[0] and 50256 not in got[2]

@@ -77,7 +77,6 @@ def test_pipeline_by_brute_force(spark):
         r.asDict() | {"ids_crc32": crc(memoryview(r.ids).cast("B").cast("I").tolist())} for r in rows.collect()
     ]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = {
         d: tokenizer.encode(t, add_special_tokens=False).ids + [0] for d, t in slow_pipeline(docs).items()
     }

@@ -35,7 +35,6 @@ def texts(spark):
 @pytest.fixture(scope="module")
 def token_ids(texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return {d: tokenizer.encode(t, add_special_tokens=False).ids + [0] for d, t in texts.items()}
 
 

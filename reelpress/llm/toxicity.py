@@ -256,9 +256,9 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _count_frame(counts: list[Counter[str]]) -> pd.DataFrame:
-    rows = [(start, slot, n) for slot, each in enumerate(counts) for start, n in each.items()]
-    frame = pd.DataFrame(rows, columns=["start", "slot", "n"], dtype=object)
-    return frame.astype({"slot": "int32", "n": "int64"})
+    starts = list(set().union(*counts))
+    columns = {f"n{slot}": pd.Series([each[s] for s in starts], dtype="int64") for slot, each in enumerate(counts)}
+    return pd.DataFrame({"start": pd.Series(starts, dtype=object), **columns})
 
 
 def _gain(t, c, total_t: float, total_c: float):
@@ -291,12 +291,12 @@ def learn(labelled: DataFrame, text: str = "text", toxic: str = "toxic", doc_id:
     rows = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull()).select(
         F.col(doc_id).alias("id"), half.alias("half"), (F.col(toxic) > 0).cast("int").alias("toxic"), F.col(text).alias("text")
     )
-    slots = [F.sum(F.when(F.col("slot") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(5)]
+    slots = [f"n{slot}" for slot in range(5)]
     counts = (
         rows.select("half", "toxic", "text")
-        .mapInPandas(_count, "start string, slot int, n long")
+        .mapInPandas(_count, f"start string, {', '.join(f'{slot} long' for slot in slots)}")
         .groupBy("start")
-        .agg(*slots)
+        .agg(*[F.sum(slot).alias(slot) for slot in slots])
         .where("n1 + n3 >= 3 AND (n4 >= 3 OR start = '')")
         .checkpoint()
     )
@@ -380,5 +380,6 @@ def toxicity(
     """Learns from the labelled rows that are not held out and scores all rows."""
     known = labels.where(F.col(toxic).isNotNull()).groupBy(F.col(doc_id).alias("l_id")).agg(F.max(toxic).alias("l_toxic"))
     rows = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    labelled = rows.join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", F.col("l_toxic").alias("toxic"))
+    # labels grow with the documents, so they are not broadcast at any size
+    labelled = rows.join(known.hint("merge"), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", F.col("l_toxic").alias("toxic"))
     return score_texts(docs, learn(labelled), text)

@@ -108,31 +108,55 @@ FROM base JOIN losses USING (doc_id)
 
 ORACLE["op9_chat_quotation_linking"] = r"""
 WITH RECURSIVE messages AS (
-    SELECT conv_id, turn, role, text IS NULL AS missing,
+    SELECT row_number() OVER () AS rid, conv_id, turn, role,
            string_split(coalesce(text, ''), chr(10)) AS parts
     FROM conversations),
 lines AS (
-    SELECT conv_id, turn, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+    SELECT rid, conv_id, turn, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
     FROM messages),
 parsed AS (
-    SELECT conv_id, turn, pos, line,
+    SELECT rid, conv_id, turn, pos, line,
            length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g'))
              AS level,
            translate(trim(regexp_replace(regexp_replace(line, '^[ \t]*(?:>[ \t]*)+', ''),
                                          '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
     FROM lines),
-telling AS (SELECT * FROM parsed WHERE regexp_matches(key, '[\p{L}\p{N}]')),
-originals AS (
-    SELECT conv_id, key, min(turn) AS first FROM telling WHERE level = 0 GROUP BY conv_id, key),
+islands AS (
+    SELECT *, pos - row_number() OVER (PARTITION BY rid, level ORDER BY pos) AS island FROM parsed),
+passages AS (
+    SELECT rid, conv_id, turn, level, trim(regexp_replace(
+               string_agg(key, ' ' ORDER BY pos), ' +', ' ', 'g'), ' ') AS text
+    FROM islands GROUP BY rid, conv_id, turn, level, island),
+split AS (
+    SELECT *, string_split(text, ' ') AS w, greatest(len(string_split(text, ' ')) - 4, 1) AS n
+    FROM passages),
+units AS (
+    SELECT conv_id, turn, level, 'passage' AS kind, text AS key, n AS weight FROM split
+    UNION ALL SELECT conv_id, turn, level, 'part', key, 1 FROM parsed
+    UNION ALL SELECT conv_id, turn, level, 'part',
+           unnest(string_split(regexp_replace(text, '([.!?]) ', '\1' || chr(10), 'g'), chr(10))), 1 FROM split
+    UNION ALL SELECT conv_id, turn, level, 'part',
+           unnest([array_to_string(w[i:i + 4], ' ') for i in range(1, n + 1)]), 1 FROM split),
+telling AS (
+    SELECT conv_id, turn, level, kind, key, max(weight) AS weight
+    FROM units
+    WHERE regexp_matches(key, '[\p{L}\p{N}]') AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+own_units AS (SELECT DISTINCT conv_id, kind, key, turn FROM telling WHERE level = 0),
+holders AS (
+    SELECT *, count(*) OVER (PARTITION BY conv_id, kind, key) > 8 AS stock,
+           row_number() OVER (PARTITION BY conv_id, kind, key ORDER BY turn) AS nth
+    FROM own_units),
 found AS (
-    SELECT t.conv_id, t.turn, o.first, min(t.level) AS level, count(*) AS n
-    FROM telling t JOIN originals o ON t.conv_id = o.conv_id AND t.key = o.key
-    WHERE t.level > 0 AND o.first < t.turn GROUP BY t.conv_id, t.turn, o.first),
+    SELECT t.conv_id, t.turn, t.level, h.turn AS first,
+           sum(CASE WHEN stock THEN 0 ELSE weight END) AS told, count(*) FILTER (stock) AS stock
+    FROM telling t JOIN holders h ON t.conv_id = h.conv_id AND t.kind = h.kind AND t.key = h.key
+    WHERE t.level > 0 AND h.turn < t.turn AND (nth = 1 OR NOT stock)
+    GROUP BY t.conv_id, t.turn, t.level, h.turn),
 parents AS (
     SELECT conv_id, turn, first AS parent FROM found
     QUALIFY row_number() OVER (PARTITION BY conv_id, turn
-                               ORDER BY level, n DESC, first DESC) = 1),
+                               ORDER BY level, told DESC, stock DESC, first DESC) = 1),
 climbs(conv_id, turn, upto, hops) AS (
     SELECT conv_id, turn, parent, CAST(1 AS BIGINT) FROM parents
     UNION ALL
@@ -142,20 +166,50 @@ roots AS (
     SELECT conv_id, turn, arg_max(upto, hops) AS root, max(hops) AS hops
     FROM climbs GROUP BY conv_id, turn),
 own AS (
-    SELECT conv_id, turn, count(*) FILTER (level > 0) AS n_quoted_lines,
+    SELECT rid, count(*) FILTER (level > 0) AS n_quoted_lines,
            trim(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), ''),
                 ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS own_text
-    FROM parsed GROUP BY conv_id, turn)
+    FROM parsed GROUP BY rid)
 SELECT m.conv_id, m.turn, m.role, p.parent AS parent_turn,
        coalesce(r.root, m.turn) AS thread_turn, coalesce(r.hops, 0) AS reply_depth,
        o.n_quoted_lines, sha256(o.own_text) AS own_sha256,
        sha256('<|' || coalesce(m.role, 'user') || '|>' || chr(10) || o.own_text || chr(10))
          AS formatted_sha256
-FROM messages m JOIN own o ON m.conv_id = o.conv_id AND m.turn = o.turn
+FROM messages m JOIN own o ON m.rid = o.rid
 LEFT JOIN parents p ON m.conv_id = p.conv_id AND m.turn = p.turn
 LEFT JOIN roots r ON m.conv_id = r.conv_id AND m.turn = r.turn
 """
 
+_DRAWN = "CAST('0x' || substr(md5(concat(conv_id, ':', {turn})), 1, 8) AS BIGINT)"
+_WRAPPED = """array_to_string(
+    ['{marks}' || array_to_string({words}[12 * i + 1:12 * i + 12], ' ') for i in range(0, (len({words}) + 11) // 12)],
+    chr(10))"""
+
+ORACLE["parents_of_quoting_replies"] = f"""
+WITH drawn AS (
+    SELECT *, CASE WHEN turn > 0 THEN {_DRAWN.format(turn="turn")} % turn END AS true_parent
+    FROM conversations),
+texts AS (
+    SELECT conv_id, turn, true_parent, coalesce(text, '') AS said,
+           string_split(trim(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '), ' ') AS w
+    FROM drawn),
+above AS (
+    SELECT d.*, p.said, p.w, p.w[len(p.w) // 2 + 1:] AS half, g.w AS gw
+    FROM drawn d LEFT JOIN texts p ON p.conv_id = d.conv_id AND p.turn = d.true_parent
+    LEFT JOIN texts g ON g.conv_id = p.conv_id AND g.turn = p.true_parent),
+replies AS (
+    SELECT conv_id, turn, role, true_parent, concat_ws(chr(10),
+        {_WRAPPED.format(words="gw", marks="> > ")},
+        CASE turn % 3 WHEN 0 THEN '> ' || replace(said, chr(10), chr(10) || '> ')
+                      WHEN 1 THEN {_WRAPPED.format(words="w", marks="> ")}
+                      ELSE {_WRAPPED.format(words="half", marks="> ")} END,
+        coalesce(text, '')) AS text
+    FROM above)
+SELECT r.conv_id, r.turn, r.true_parent, l.parent_turn, l.thread_turn, l.reply_depth
+FROM ({ORACLE["op9_chat_quotation_linking"].replace("FROM conversations", "FROM replies")}) l
+JOIN replies r ON r.conv_id = l.conv_id AND r.turn = l.turn
+"""
+
 ORACLE["op13_phrase_collocations"] = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,

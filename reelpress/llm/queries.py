@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelpress.llm import (
@@ -122,6 +122,46 @@ def op9_chat_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quoting_replies(messages: DataFrame) -> DataFrame:
+    """Every turn as a reply to an earlier one drawn by hash, its ``true_parent``, which it quotes as it stands, wrapped
+    anew, or by its second half; what the parent answers is quoted one level deeper."""
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", "conv_id", "turn")), 1, 8), 16, 10).cast("long")
+    known = messages.withColumn("true_parent", F.when(F.col("turn") > 0, drawn % F.col("turn")))
+    plain = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), F.lit(" "))
+    texts = known.select("conv_id", "turn", "true_parent", F.coalesce("text", F.lit("")).alias("said"), F.split(plain, " ", -1).alias("w"))
+    parent = texts.select(
+        F.col("conv_id").alias("p_conv"), F.col("turn").alias("p_turn"), F.col("true_parent").alias("p_parent"), "said", "w"
+    )
+    above = texts.select(F.col("conv_id").alias("g_conv"), F.col("turn").alias("g_turn"), F.col("w").alias("gw"))
+
+    def wrapped(words: Column, marks: str) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(12)), lambda i: i <= F.size(words))
+        lines = F.transform(starts, lambda i: F.concat(F.lit(marks), F.array_join(F.slice(words, i, 12), " ")))
+        return F.array_join(lines, "\n")
+
+    half = F.slice("w", F.floor(F.size("w") / 2).cast("int") + 1, F.size("w"))
+    quote = (
+        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("> "), F.replace("said", F.lit("\n"), F.lit("\n> "))))
+        .when(F.col("turn") % 3 == 1, wrapped(F.col("w"), "> "))
+        .otherwise(wrapped(half, "> "))
+    )
+    return (
+        known.join(parent, F.expr("conv_id = p_conv AND true_parent = p_turn"), "left")
+        .join(above, F.expr("p_conv = g_conv AND p_parent = g_turn"), "left")
+        .select(
+            "conv_id", "turn", "role", "true_parent",
+            F.concat_ws("\n", wrapped(F.col("gw"), "> > "), quote, F.coalesce("text", F.lit(""))).alias("text"),
+        )
+    )
+
+
+@query
+def parents_of_quoting_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """The given conversations hold no quotes: replies that quote are derived from them, their parents known."""
+    linked = chat.link_quotes(quoting_replies(table(spark, folder, "conversations")))
+    return linked.select("conv_id", "turn", "true_parent", "parent_turn", "thread_turn", "reply_depth")
+
+
 @query
 def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
     packed = token_output.packed_rows(table(spark, folder, "documents"))

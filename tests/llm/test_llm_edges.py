@@ -431,14 +431,14 @@ def test_chat_links(spark):
     assert len(got) == len(rows)
     one = {r.turn: r for r in got if r.conv_id == 1}
     assert {t: r.parent_turn for t, r in one.items()} == {
-        0: None, 1: 0, 2: 1, 3: None, 4: 0, 5: None, 6: None, 7: 1, None: None,
+        0: None, 1: 0, 2: 1, 3: None, 4: 3, 5: None, 6: None, 7: 1, None: None,
     }
     assert (one[2].thread_turn, one[2].reply_depth, one[2].own_text) == (0, 2, "Thanks!")
     assert (one[7].thread_turn, one[7].reply_depth) == (0, 2)
     assert (one[6].own_text, one[6].formatted) == ("", "<|user|>\n\n")
     assert one[1].formatted == "<|assistant|>\nUse a key.\n" and one[1].n_quoted_lines == 1
     order = [r.turn for r in got if r.conv_id == 1 and r.turn is not None]
-    assert order == [0, 1, 2, 4, 4, 7, 3, 5, 6]
+    assert order == [0, 1, 2, 7, 3, 4, 4, 5, 6]
     assert chat.link_quotes(messages.where("false")).count() == 0
 
 
@@ -449,6 +449,43 @@ def test_a_long_chain_of_replies(spark):
     assert {r.turn: (r.thread_turn, r.reply_depth) for r in got} == {i: (0, i) for i in range(40)}
 
 
+def test_quotes_by_passage(spark):
+    """A signature does not outvote the body; quotes wrapped anew and of a part find their original."""
+    signature = "Best wishes\nThe team of the north office\nSecond floor, room nine"
+    body = "A whole new body that nobody has written before in this talk. It ends with a short line."
+    wrapped = "\n".join("> " + " ".join(body.split()[i : i + 4]) for i in range(0, len(body.split()), 4))
+    texts = {
+        0: "Good day\n" + signature,
+        **{i: f"message {i}\n" + signature for i in range(1, 4)},
+        4: body + "\n" + signature,
+        5: "\n".join("> " + x for x in (body + "\n" + signature).split("\n")) + "\nagreed",
+        6: wrapped + "\nso do I",
+        7: "> that nobody has written before\nreally?",
+        8: "> It ends with a short line.\ntrue",
+        **{i: f"message {i}\n" + signature for i in range(9, 20)},
+        20: "> so do I\n" + "\n".join("> " + x for x in signature.split("\n")) + "\nfine",
+        21: "> Best wishes\nthanks",
+        22: "> a\0b\n\0\n> so do I\nNUL characters",
+        23: "> \n>\n\n> > \n",
+        24: " ".join(f"w{i}" for i in range(30_000)),
+        25: "> " + " ".join(f"W{i}" for i in range(29_000, 29_010)),
+    }
+    rows = [(1, t, "user", x) for t, x in texts.items()]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parents = {r.turn: r.parent_turn for r in chat.link_quotes(messages).collect()}
+    wanted = {5: 4, 6: 4, 7: 4, 8: 4, 20: 6, 21: 0, 22: 6, 25: 24}
+    assert {t: p for t, p in parents.items() if p is not None} == wanted
+
+
+def test_parents_of_quoting_replies(spark):
+    from reelpress.llm.queries import QUERIES
+
+    rows = QUERIES["parents_of_quoting_replies"](spark, "/root/testdata/sf0.01").collect()
+    asked = [r for r in rows if r.true_parent is not None]
+    assert len(asked) > 100
+    assert sum(r.parent_turn == r.true_parent for r in asked) >= 0.9 * len(asked)
+
+
 def test_chat_sql_agrees_on_quotes(spark, tmp_path):
     import duckdb
     from compare import difference

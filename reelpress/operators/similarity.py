@@ -76,7 +76,7 @@ def _item_sums(cells: DataFrame, at_least: int) -> DataFrame:
     return sums.filter(F.col("n") >= at_least).drop("n")
 
 
-def _user_count(cells: DataFrame):
+def user_count(cells: DataFrame):
     """Number of users, those without a popular item among them, as a value of the query."""
     return cells.select("u").distinct().agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
 
@@ -148,13 +148,24 @@ def item_similarity(
     """
     if min_cooccurrence < 1:
         raise ValueError("min_cooccurrence must be at least 1")
-    other = f"similar_{item}"
     cells = _cells(ratings, user, item, rating)
-    users = _user_count(cells)
+    users = user_count(cells)
     spread = _spread(_item_sums(cells, min_cooccurrence), users)
     # an inner join: a semi-join would be moved below the sums
     popular = cells.join(spread.select("i"), "i")
     pairs = co_rated_pairs(popular, min_cooccurrence, block_items)
+    return _scored(pairs, spread, users, min_similarity, item)
+
+
+def scored_pairs(
+    pairs: DataFrame, sums: DataFrame, users, min_similarity: float, item: str = "movie_id"
+) -> DataFrame:
+    """Pairs ``(i, j, k, sxy)`` that correlate enough, given the items' sums ``(i, sx, sxx)``; both directions."""
+    return _scored(pairs, _spread(sums, users), users, min_similarity, item)
+
+
+def _scored(pairs: DataFrame, spread: DataFrame, users, min_similarity: float, item: str) -> DataFrame:
+    other = f"similar_{item}"
     second = spread.select(
         F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("v").alias("w")
     )
@@ -188,7 +199,7 @@ def similar_to_item(
     """
     other = f"similar_{item}"
     cells = _cells(ratings, user, item, rating)
-    users = _user_count(cells)
+    users = user_count(cells)
     spread = _spread(_item_sums(cells, min_cooccurrence), users)
     wanted = anchor.select(F.col(item).alias("i"))
     raters = cells.join(wanted, "i", "left_semi").select("u", F.col("x").alias("y"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelpress.operators import ratings as R
 from reelpress.operators import similarity as S
+from reelpress.operators import similarity_state as SS
 from reelpress.plans.registry import query
 from reelpress.plans.tables import Tables
 from reelpress.schemas import GENRES
@@ -191,6 +192,17 @@ def similar_item_pairs(t: Tables):
     )
 
 
+@query(
+    "E7 D11 E5 M2",
+    f"WITH {_similarity_sql(SIMILARITY, COOCCURRENCE)} SELECT * FROM similar_pairs",
+)
+def similar_pairs_after_increment(t: Tables):
+    """A tenth of the ratings, drawn by hash, comes later; the result is that of all ratings."""
+    later = F.pmod(F.xxhash64("user_id", "movie_id", "timestamp"), F.lit(10)) == 0
+    state = SS.after_increment(SS.initial_state(t.ratings.where(~later)), t.ratings.where(later))
+    return _rounded(SS.scores(state, SIMILARITY, COOCCURRENCE), "similarity_score")
+
+
 @query(
     "D11 E5",
     f"""WITH {_CELLS}

@@ -66,11 +66,15 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where the setting is missing it is a folder of the warehouse, which executors share too.
+    Where the setting is missing it is a folder of the warehouse, unless that is on a machine's own disk (its
+    default is the driver's working directory) and the session is not local.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        own_disk = ":/" not in folder or folder.startswith("file:")
+        if own_disk and not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir: executors may not share {folder}")
     return folder.rstrip("/")
 
 

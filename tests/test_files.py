@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,3 +197,22 @@ def test_session(spark):
     assert folder == (spark.conf.get("spark.checkpoint.dir", None) or folder)
     use_checkpoints(spark)
     assert spark.range(3).checkpoint().count() == 3
+
+
+@pytest.mark.parametrize(
+    ("conf", "folder"),
+    [
+        ({"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/home/driver/spark-warehouse"}, None),
+        ({"spark.master": "yarn", "spark.sql.warehouse.dir": "spark-warehouse"}, None),
+        ({"spark.master": "yarn", "spark.sql.warehouse.dir": "s3a://b/w/"}, "s3a://b/w/_shared"),
+        ({"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/tmp/w"}, "file:/tmp/w/_shared"),
+        ({"spark.master": "yarn", "spark.checkpoint.dir": "/mnt/shared/"}, "/mnt/shared"),
+    ],
+)
+def test_a_cluster_needs_a_folder_that_executors_share(conf, folder):
+    session = SimpleNamespace(conf=conf)
+    if folder is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+    else:
+        assert shared_folder(session) == folder

@@ -52,7 +52,7 @@ def test_against_sql(spark, con, name):
 
 
 def test_one_query_per_operator():
-    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
+    numbers = sorted(int(found[1]) for name in QUERIES if (found := re.match(r"op(\d+)_", name)))
     assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
 

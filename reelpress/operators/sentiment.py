@@ -15,6 +15,8 @@ from reelpress.functions import text as X
 
 #: lexicon values are summed as whole millionths
 _UNIT = 1_000_000
+#: tokens after a modifier that it works on
+MODIFIER_WINDOW = 3
 
 
 def score_texts(df: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
@@ -61,6 +63,56 @@ def lexicon_sentiment(df: DataFrame, id: str, text: Column, lexicon: DataFrame)
     return score_texts(df.select(F.col(id), text.alias("_text")), "_text", lexicon)
 
 
+def contextual_sentiment(
+    df: DataFrame, id: str, text: Column, lexicon: DataFrame, window: int = MODIFIER_WINDOW
+) -> DataFrame:
+    """``(id, total, hits, polarity)``: every hit's value times the factors of the modifiers close before it.
+
+    A lexicon row is a value (``polarity``), a modifier (``factor``: below zero for a negation, above one for an
+    intensifier), or both. A modifier works on the hits among the ``window`` tokens after it. ``total`` is in
+    millionths; ``polarity`` is the mean, cut to -1 and 1, and 0 without a hit.
+
+    Only id, a hash of the text, position and word of a token are shuffled. A row's hits and modifiers are sorted by
+    position and folded with the modifiers still in reach as state, so the work is linear in them. Rows
+    that share id and text are one row; a null text has no hit; lexicon words are unique.
+    """
+    said = F.coalesce(text, F.lit(""))
+    tokens = df.select(
+        F.col(id).alias("id"), F.xxhash64(said).alias("_h"),
+        F.posexplode(F.split(F.lower(said), r"[^\p{L}]+")).alias("pos", "_word"),
+    )
+    known = lexicon.filter(F.col("word") != "").select(
+        F.col("word").alias("_word"),
+        F.round(F.col("polarity") * _UNIT).cast("double").alias("p"),
+        F.col("factor").cast("double").alias("f"),
+        F.lit(True).alias("_known"),
+    )
+    marks = (
+        tokens.join(known, "_word", "left")
+        .groupBy("id", "_h")
+        .agg(F.sort_array(F.collect_set(F.when(F.col("_known"), F.struct("pos", "p", "f")))).alias("marks"))
+    )
+    start = F.struct(
+        F.lit(0.0).alias("total"), F.lit(0).cast("bigint").alias("hits"),
+        F.array().cast("array<struct<pos:int,f:double>>").alias("open"),
+    )
+
+    def step(state: Column, mark: Column) -> Column:
+        reach = F.filter(state["open"], lambda m: m["pos"] >= mark["pos"] - window)
+        factor = F.aggregate(reach, F.lit(1.0), lambda product, m: product * m["f"])
+        mine = F.array(F.struct(mark["pos"].alias("pos"), mark["f"].alias("f")))
+        return F.struct(
+            (state["total"] + F.coalesce(mark["p"] * factor, F.lit(0.0))).alias("total"),
+            (state["hits"] + mark["p"].isNotNull().cast("bigint")).alias("hits"),
+            F.when(mark["f"].isNull(), reach).otherwise(F.concat(reach, mine)).alias("open"),
+        )
+
+    mean = F.coalesce(F.try_divide(F.col("r.total"), F.col("r.hits")) / _UNIT, F.lit(0.0))
+    return marks.select("id", F.aggregate("marks", start, step).alias("r")).select(
+        F.col("id").alias(id), "r.total", "r.hits", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean)).alias("polarity")
+    )
+
+
 def sentiment_records(
     articles: DataFrame,
     lexicon: DataFrame,

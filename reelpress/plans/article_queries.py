@@ -16,7 +16,7 @@ from reelpress.plans import article_flow as A
 from reelpress.plans import article_job as J
 from reelpress.plans import comparison_sql as Q
 from reelpress.plans.registry import query
-from reelpress.plans.tables import KEYWORDS, LINK_MARKS, PAGE_BASE, Tables
+from reelpress.plans.tables import KEYWORDS, LEXICON, LINK_MARKS, MODIFIERS, PAGE_BASE, Tables
 
 RUN_TIME = "2024-02-01 06:30:00"
 
@@ -467,6 +467,27 @@ def article_polarity(t: Tables):
     return scored.select("seq", "polarity", "subjectivity")
 
 
+@query(
+    "K1 I11",
+    f"""WITH {Q.values("lexicon", "word, p, s", LEXICON)}, {Q.values("modifiers", "word, f", MODIFIERS)},
+        parts AS (SELECT seq, string_split_regex(lower(concat(title, ' ', content)), '[^\\p{{L}}]+') AS words
+                  FROM articles),
+        tokens AS (SELECT seq, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM parts),
+        hits AS (SELECT seq, pos, p FROM tokens JOIN lexicon USING (word)),
+        mods AS (SELECT seq, pos, CAST(f AS DOUBLE) AS f FROM tokens JOIN modifiers USING (word)),
+        valued AS (SELECT h.seq, h.pos, any_value(p) * 1000.0 * coalesce(product(f), 1.0) AS v
+                   FROM hits h LEFT JOIN mods m
+                     ON m.seq = h.seq AND m.pos BETWEEN h.pos - {S.MODIFIER_WINDOW} AND h.pos - 1
+                   GROUP BY h.seq, h.pos)
+        SELECT seq, CAST(coalesce(sum(v), 0) AS DOUBLE) AS total, count(v) AS hits
+        FROM articles LEFT JOIN valued USING (seq) GROUP BY seq""",
+)
+def contextual_polarity(t: Tables):
+    text = X.scoring_text(F.col("title"), F.col("content"))
+    lexicon = t.lexicon().select("word", "polarity").join(t.modifiers(), "word", "full")
+    return S.contextual_sentiment(t.articles, "seq", text, lexicon).select("seq", "total", "hits")
+
+
 @query(
     "K2 I8 I9 C11",
     f"""WITH {Q.SCORED}

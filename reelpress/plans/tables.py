@@ -40,6 +40,8 @@ LEXICON = [
     ("re", -400, 550), ("the", 35, 50), ("to", 15, 25), ("und", 225, 275),
     ("was", -225, 175), ("with", 525, 650),
 ]
+#: words that stand for negations and intensifiers: (word, factor)
+MODIFIERS = [("nicht", -0.5), ("pas", -0.5), ("no", -0.5), ("le", 1.5), ("in", 1.5), ("los", 1.5)]
 #: words that stand for the keywords of the entities being followed
 KEYWORDS = ["nicht", "que la", "The", "elle", "erblest"]
 #: parts of a link that mark an article on the stand-in pages
@@ -162,6 +164,10 @@ class Tables:
             )
         )
 
+    def modifiers(self) -> DataFrame:
+        words, factors = zip(*MODIFIERS)
+        return self.spark.createDataFrame(pa.table({"word": pa.array(words), "factor": pa.array(factors)}))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in ROLES:
             tables, condition, columns = ROLES[name]

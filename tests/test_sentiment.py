@@ -111,3 +111,22 @@ def test_records_to_result_tables(spark, lexicon):
     ]
     checks = Q.check_table(scores, schemas.SENTIMENT_SCORES_TABLE, {"articles": rows})
     assert all(r.violations == 0 for r in checks.collect())
+
+
+def test_context_of_hits(spark):
+    lexicon = spark.createDataFrame(
+        [("good", 0.5, None), ("bad", -0.5, None), ("not", None, -0.5), ("very", None, 1.5), ("hardly", -0.25, -0.5)],
+        "word string, polarity double, factor double",
+    )
+    texts = {
+        1: "good", 2: "not good", 3: "not very good", 4: "Not a b c good", 5: "not a b good bad", 6: "hardly bad",
+        7: None, 8: "", 9: "very very very good", 10: "good, not", 11: "x " * 50_000 + "not good",
+    }
+    df = spark.createDataFrame([*texts.items(), (1, "good"), (1, "bad")], "id long, text string")
+    got = sorted((r.id, r.total / 1e6, r.hits, r.polarity) for r in S.contextual_sentiment(df, "id", F.col("text"), lexicon).collect())
+    assert [g[:3] for g in got] == [
+        (1, -0.5, 1), (1, 0.5, 1), (2, -0.25, 1), (3, -0.375, 1), (4, 0.5, 1), (5, -0.75, 2), (6, 0.0, 2), (7, 0.0, 0),
+        (8, 0.0, 0), (9, 1.6875, 1), (10, 0.5, 1), (11, -0.25, 1),
+    ]
+    assert {g[0]: g[3] for g in got}[9] == 1.0 and {g[0]: g[3] for g in got}[7] == 0.0
+    assert S.contextual_sentiment(df.where("false"), "id", F.col("text"), lexicon).count() == 0

@@ -2,115 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelpress.functions import html as H
 from reelpress.functions import text as X
 
-_VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = {"script", "style", "template"}
-
-
-class _Outline(HTMLParser):
-    """Flat outline of a page: visible text pieces, and elements as spans over them.
-
-    An end tag closes every element opened since its start tag; stray end tags are ignored.
-    """
-
-    def __init__(self, page: str):
-        super().__init__(convert_charrefs=True)
-        self.pieces: list[str] = []
-        self.elements: list[dict] = []
-        self._open: list[dict] = []
-        self.feed(page)
-        self.close()
-        for element in self._open:
-            element["end"] = len(self.pieces)
-
-    def handle_starttag(self, tag, attrs):
-        given = dict(attrs)
-        element = {
-            "tag": tag,
-            "class": given.get("class") or "",
-            "href": given.get("href") or "",
-            "start": len(self.pieces),
-            "end": len(self.pieces),
-            "above": tuple(self._open),
-        }
-        self.elements.append(element)
-        if tag not in _VOID:
-            self._open.append(element)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if any(element["tag"] == tag for element in self._open):
-            while True:
-                element = self._open.pop()
-                element["end"] = len(self.pieces)
-                if element["tag"] == tag:
-                    return
-
-    def handle_data(self, data):
-        if not any(element["tag"] in _HIDDEN for element in self._open):
-            self.pieces.append(data)
-
-    def text(self, element) -> str:
-        return "".join(self.pieces[element["start"] : element["end"]]).strip()
-
-
-def _at(element: dict, place: str) -> bool:
-    if place.startswith("<"):
-        return element["tag"] == place[1:-1]
-    if place.startswith("*"):
-        return place[1:] in element["class"]
-    return place in element["class"].split()
-
-
-def _title(page: _Outline) -> str:
-    for above, tag in H.TITLE_PLACES:
-        for element in page.elements:
-            if element["tag"] == tag and (
-                above is None or any(_at(outer, above) for outer in element["above"])
-            ):
-                text = page.text(element)
-                if text and text != H.NO_TITLE:
-                    return text
-                break  # only the first element of a place counts
-    return H.NO_TITLE
-
-
-def _content(page: _Outline) -> str:
-    for place in H.CONTENT_PLACES:
-        for element in page.elements:
-            if _at(element, place):
-                text = page.text(element)
-                if len(text) > H.MIN_BODY:
-                    return text
-                break
-    return H.NO_CONTENT
-
-
-def _links(page: _Outline, marks: Sequence[str]) -> list[str]:
-    anchors = [element for element in page.elements if element["tag"] == "a"]
-    found = [a["href"] for mark in marks for a in anchors if mark in a["href"]]
-    for place in H.LINK_PLACES:
-        found += [a["href"] for a in anchors if any(_at(outer, place) for outer in a["above"])]
-    return found
-
-
-def _read(page: str, marks: Sequence[str]) -> tuple[str, str, list[str]]:
-    outline = _Outline(page)
-    return _title(outline), _content(outline), _links(outline, marks)
-
-
 def parse_pages(
     pages: DataFrame,
     html: str = "html",
@@ -118,31 +17,22 @@ def parse_pages(
 ) -> DataFrame:
     """Adds ``title``, ``content`` and ``links`` (array) and drops the HTML column.
 
-    For pages that close elements implicitly. One Arrow batch at a time (Spark bounds a batch
-    by rows and by bytes), no shuffle.
+    All three are read from one outline of the page, in the row. A null page is an empty one.
     """
-    kept = [field for field in pages.schema.fields if field.name != html]
-    schema = ", ".join(
-        [f"`{field.name}` {field.dataType.simpleString()}" for field in kept]
-        + ["title string", "content string", "links array<string>"]
+    return _with_parts(
+        pages, html, title=H.title_of, content=H.article_of, links=lambda page: H.links_of(page, marks)
     )
-    wanted = list(marks)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [_read(page or "", wanted) for page in batch.pop(html)]
-            title, content, links = zip(*found) if found else ((), (), ())
-            yield batch.assign(title=title, content=content, links=links)
 
-    return pages.mapInPandas(parse, schema)
+def read_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Title and content of every page."""
+    return _with_parts(pages, html, title=H.title_of, content=H.article_of)
 
 
-def read_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Title and content by the native functions."""
-    source = F.col(html)
-    return X.compute_once(
-        pages, title=H.page_title(source), content=H.page_article(source)
-    ).drop(html)
+def _with_parts(pages: DataFrame, html: str, **parts: Callable[[Column], Column]) -> DataFrame:
+    kept = [f"`{name}`" for name in pages.columns if name not in (html, *parts)]
+    read = F.array(H.page_parts(F.col(f"`{html}`"), **parts))
+    return pages.select(*kept, F.inline(read))
 
 
 def extract_links(
@@ -155,16 +45,14 @@ def extract_links(
     """One row per article URL of a page with its ``position``, first occurrence only.
 
     Marked links come first, then those in the elements that list articles. ``links`` may name
-    the link column of ``parse_pages``; otherwise they are read natively from ``html``.
+    the link column of ``parse_pages``; otherwise they are read from ``html``.
     """
     others = [name for name in pages.columns if name not in (html, "links")]
-    found = links
     if links is None:
-        pages = X.compute_once(pages.select(*others, html), _plain=H.without_scripts(F.col(html)))
-        plain = F.col("_plain")
-        found = F.concat(H.ranked_links(H.page_links(plain), marks), H.placed_links(plain))
+        pages = _with_parts(pages.select(*others, html), html, links=lambda page: H.links_of(page, marks))
+        links = F.col("links")
     return pages.select(
-        *others, F.posexplode(H.article_urls(found, base, marks)).alias("position", "link")
+        *others, F.posexplode(H.article_urls(links, base, marks)).alias("position", "link")
     )
 
 

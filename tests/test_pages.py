@@ -1,4 +1,5 @@
 import random
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,77 @@ def test_keyword_table_by_brute_force(spark):
 def test_long_text_grams_are_linear(spark):
     long = spark.range(1).select(F.repeat(F.lit("abcé "), 400_000).alias("t"))
     assert long.select(F.size(P.grams(F.col("t")))).first()[0] == 15
+
+
+class Elements(HTMLParser):
+    """All elements of a page: name, class, target, elements around it and text, for comparison."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.all, self.open = [], []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        given = dict(attrs)
+        one = (tag, given.get("class", ""), given.get("href", ""), list(self.open), [])
+        self.all.append(one)
+        if tag not in H.VOID:
+            self.open.append(one)
+
+    def handle_endtag(self, tag):
+        places = [n for n, one in enumerate(self.open) if one[0] == tag]
+        if places:
+            del self.open[places[-1] :]
+
+    def handle_data(self, data):
+        for one in self.open:
+            one[4].append(data)
+
+
+def by_parser(page):
+    found = Elements(page).all
+
+    def at(one, place):
+        if place.startswith("<"):
+            return one[0] == place.strip("<>")
+        return place[1:] in one[1] if place[0] == "*" else place in one[1].split()
+
+    def texts(test):
+        return ["".join(one[4]).strip() for one in found if test(one)][:1]
+
+    titles = [
+        t for above, tag in H.TITLE_PLACES
+        for t in texts(lambda e: e[0] == tag and (not above or any(at(o, above) for o in e[3])))
+        if t and t != H.NO_TITLE
+    ]
+    bodies = [
+        t for place in H.CONTENT_PLACES for t in texts(lambda e: at(e, place)) if len(t) > H.MIN_BODY
+    ]
+    anchors = [e for e in found if e[0] == "a"]
+    links = [e[2] for mark in H.ARTICLE_MARKS for e in anchors if mark in e[2]]
+    links += [e[2] for p in H.LINK_PLACES for e in anchors if any(at(o, p) for o in e[3])]
+    return (titles or [H.NO_TITLE])[0], (bodies or [H.NO_CONTENT])[0], links
+
+
+def test_outline_equals_a_parser_on_random_pages(spark):
+    """Unclosed, stray and crossed tags, void ones, all quotes, pages of several blocks."""
+    rng = random.Random(11)
+    classes = ["content", "x story-title", "big-title", "story-card", "main-body y", "entry-content", "headline"]
+    tags = ["h1", "div", "p", "article", "h2", "section", "title", "b"]
+
+    def piece():
+        kind, tag = rng.random(), rng.choice(tags)
+        if kind < 0.35:
+            quote = rng.choice("'\"")
+            return f"<{tag} id=k class={quote}{rng.choice(classes)}{quote}>" if rng.random() < 0.4 else f"<{tag}>"
+        if kind < 0.6:
+            return f"</{tag}>"
+        if kind < 0.7:
+            return f"<a href={rng.choice(['/story/1', '/2024/q', '/no'])} title='a > b'>t</a>"
+        return rng.choice(["<br>", "plain words here ", "3 < 4 ", "long " * 9, "<img src=x>", "<!-- <h1> -->"])
+
+    pages = ["".join(piece() for _ in range(rng.choice([5, 40, 900]))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(pages)), "n int, html string")
+    got = {r.n: (r.title, r.content, r.links) for r in P.parse_pages(df).collect()}
+    assert got == {n: by_parser(page) for n, page in enumerate(pages)}

@@ -477,6 +477,23 @@ def test_quotes_by_passage(spark):
     assert {t: p for t, p in parents.items() if p is not None} == wanted
 
 
+def test_every_holder_of_a_unit_counts(spark):
+    """Two lines that many messages hold, both of them in one message only."""
+    texts = {
+        **{t: f"message {t}\nfirst stock line" for t in range(12)},
+        12: "message 12\nfirst stock line\nmiddle of 12\nsecond stock line",
+        **{t: f"message {t}\nsecond stock line" for t in range(13, 25)},
+        25: "> first stock line\nwhat I say\n> second stock line",
+        26: "> message 3\n> second stock line",
+    }
+    rows = [(1, t, "user", x) for t, x in texts.items()]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    parents = {r.turn: r.parent_turn for r in chat.link_quotes(messages, few_holders=None).collect()}
+    assert {t: p for t, p in parents.items() if p is not None} == {25: 12, 26: 24}
+    few = {r.turn: r.parent_turn for r in chat.link_quotes(messages).collect()}
+    assert few[26] == 3
+
+
 def test_parents_of_quoting_replies(spark):
     from reelpress.llm.queries import QUERIES
 

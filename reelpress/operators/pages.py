@@ -87,6 +87,30 @@ def grams(text: Column, q: int = 3) -> Column:
     return F.get(F.transform(F.array(F.filter(chars, lambda c: c != "")), pieces), F.lit(0))
 
 
+#: words of 64 bits of the sketch of a keyword table's grams
+SKETCH_WORDS = 8192
+
+
+def _bit(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(64 * SKETCH_WORDS))
+
+
+def _sketch(df: DataFrame, column: str) -> Column:
+    """One array with a bit set for every value of the column, as a value of the query; its size is fixed."""
+    words = df.groupBy(F.shiftright(_bit(F.col(column)), 6).alias("id")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(`{column}`), {64 * SKETCH_WORDS}L) & 63L AS INT))")).alias("bits")
+    )
+    every = df.sparkSession.range(0, SKETCH_WORDS, 1, 1).join(words, "id", "left")
+    entry = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return every.agg(F.sort_array(F.collect_list(entry)).alias("s")).select(F.col("s.bits")).scalar()
+
+
+def _in_sketch(value: Column, sketch: Column) -> Column:
+    """False for values that are surely not in the sketch."""
+    bit = _bit(value)
+    return F.getbit(F.get(sketch, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def match_keywords(
     df: DataFrame,
     columns: Sequence[str],
@@ -99,9 +123,9 @@ def match_keywords(
 
     An inverted index of character grams: each keyword is filed under one of its grams of ``q`` characters,
     the rarest in a share of the texts (that choice changes the work, not the result); a shorter one
-    under itself. Texts send their distinct grams with a hash, and what meets there is looked for exactly
-    in the rows of that hash. There is no limit to the keywords and no row is compared with all of
-    them. Case is ignored; null and empty keywords and rows without a match go; repeated keywords
+    under itself. Texts send those of their distinct grams that have their bit set in a sketch of the
+    ``SKETCH_WORDS`` * 64 bits of all grams in use, with a hash, and what meets there is looked for exactly
+    in the rows of that hash. There is no limit to the keywords and no row is compared with all of them. Case is ignored; null and empty keywords and rows without a match go; repeated keywords
     count once.
     """
     lowered = {f"_lower_{name}": F.lower(F.coalesce(name, F.lit(""))) for name in columns}
@@ -113,11 +137,11 @@ def match_keywords(
         .distinct()
         .withColumn("_needle", F.lower("_word"))
     )
-    sent = keyed.select(
-        "_texts", F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(c), q) for c in lowered])))).alias("_gram")
-    )
-    sampled = F.pmod(F.xxhash64("_texts"), F.lit(1000)) < F.lit(int(1000 * rarity_share))
-    common = sent.filter(sampled).groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    held = F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(c), q) for c in lowered]))))
+    # by other columns than the texts, where there are any: rows left out are not lower-cased or parsed
+    drawn_by = [F.col(f"`{c}`") for c in df.columns if c not in columns] or [F.col("_texts")]
+    sampled = F.pmod(F.xxhash64(*drawn_by), F.lit(1000)) < F.lit(int(1000 * rarity_share))
+    common = keyed.filter(sampled).select(held.alias("_gram")).groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     longest = F.least(F.length("_needle"), F.lit(q))
     filed = (
         words.select("_word", "_needle", F.explode(grams(F.col("_needle"), q)).alias("_gram"))
@@ -126,7 +150,10 @@ def match_keywords(
         .groupBy("_word", "_needle")
         .agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
     )
-    met = sent.join(filed, "_gram").select("_texts", "_word", "_needle").distinct()
+    sent = keyed.select("_texts", held.alias("_gram")).filter(_in_sketch(F.col("_gram"), _sketch(filed, "_gram")))
+    # dealt once: what makes pairs distinct and brings them to their texts
+    met = sent.join(filed.select("_gram", "_word"), "_gram").select("_texts", "_word").repartition("_texts").distinct()
+    met = met.withColumn("_needle", F.lower("_word"))
     holds = F.lit(False)
     for column in lowered:
         holds = holds | F.contains(column, F.col("_needle"))

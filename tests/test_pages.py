@@ -244,3 +244,22 @@ def test_outline_equals_a_parser_on_random_pages(spark):
     df = spark.createDataFrame(list(enumerate(pages)), "n int, html string")
     got = {r.n: (r.title, r.content, r.links) for r in P.parse_pages(df).collect()}
     assert got == {n: by_parser(page) for n, page in enumerate(pages)}
+
+
+def test_grams_of_no_keyword_are_not_shuffled(spark):
+    """What meets keywords by gram, and what goes to the texts, is dealt once each."""
+    import re
+
+    rows = [(i, f"only {i} of these words {i * 7919} is looked for " + "xyz" * (i % 3)) for i in range(40)] * 2
+    pages = spark.createDataFrame(rows, "id int, body string").withColumn("url", F.lit(None).cast("string"))
+    words = spark.createDataFrame([("looked",), ("17",), ("Zx",), ("zX",), ("",), (None,), ("nowhere",)], "keyword string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = P.match_keywords(pages, ["url", "body"], words).select("id", "keyword")
+        found = sorted(map(tuple, got.collect()))
+        final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == sorted((i, k) for i, x in rows for k in ("looked", "17", "Zx", "zX", "nowhere") if k.lower() in x)
+    assert "getbit" in final
+    assert not re.search(r"Exchange hashpartitioning\(_texts#\w+, _word#", final), final

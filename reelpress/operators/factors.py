@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelpress.operators.similarity import both_directions, co_rated_pairs
+from reelpress.operators.similarity import both_directions, co_rater_counts
 from reelpress.session import use_checkpoints
 
 
@@ -48,19 +50,22 @@ def item_factors(
 ) -> DataFrame:
     """``(item, features)``. Long iterations cut their lineage in the checkpoint folder.
 
-    The solver wants ids in the range of int, so users and items get dense numbers first.
+    The solver wants ids in the range of int, so users and items get dense numbers first. It runs what it is given
+    twice, once for its log only, so the numbered ratings are written there too.
     """
-    use_checkpoints(ratings.sparkSession)
+    folder = use_checkpoints(ratings.sparkSession)
     users = dense_ids(ratings, user, "_u")
     items = dense_ids(ratings, item, "_i").checkpoint()
     numbered = ratings.join(users, user).join(items, item).select(
         F.col("_u").cast("int").alias("_u"), F.col("_i").cast("int").alias("_i"), rating
     )
+    kept = f"{folder}/numbered-{uuid.uuid4()}"
+    numbered.write.parquet(kept)
     als = ALS(
         rank=rank, maxIter=iterations, regParam=regularisation, seed=seed, userCol="_u",
         itemCol="_i", ratingCol=rating, checkpointInterval=5,
     )
-    found = als.fit(numbered).itemFactors
+    found = als.fit(ratings.sparkSession.read.schema(numbered.schema).parquet(kept)).itemFactors
     return found.join(items, found["id"] == items["_i"]).select(item, "features")
 
 
@@ -77,23 +82,23 @@ def factor_similarity(
     The pairs come from common raters, so factors are never compared all with all.
     """
     other = f"similar_{item}"
-    cells = ratings.select(
-        F.col(user).alias("u"), F.col(item).alias("i"), F.lit(1.0).alias("x")
-    ).distinct()
-    pairs = co_rated_pairs(cells, min_cooccurrence)
-    first = factors.select(F.col(item).alias("i"), F.col("features").alias("f"))
-    second = factors.select(F.col(item).alias("j"), F.col("features").alias("g"))
+    use_checkpoints(ratings.sparkSession)
+    cells = (
+        ratings.select(F.col(user).alias("u"), F.col(item).alias("i"))
+        .filter(F.col("u").isNotNull() & F.col("i").isNotNull())
+        .distinct()
+    )
+    known = factors.select(F.col(item).alias("i"), F.col("features").alias("f"))
+    known = known.join(dense_ids(known, "i", "n"), "i").checkpoint()
+    pairs = co_rater_counts(cells, known.select("i", "n"), min_cooccurrence)
+    first = known.select(F.col("i").alias(item), F.col("n").alias("m"), "f")
+    second = known.select(F.col("i").alias(other), "n", F.col("f").alias("g"))
     f, g = F.col("f"), F.col("g")
     cosine = F.try_divide(_dot(f, g), F.sqrt(_dot(f, f) * _dot(g, g)))
     scored = (
-        pairs.join(first, "i")
-        .join(second, "j")
-        .select(
-            F.col("i").alias(item),
-            F.col("j").alias(other),
-            cosine.alias("similarity_score"),
-            F.col("k").alias("cooccurrence_count"),
-        )
+        pairs.join(first, "m")
+        .join(second, "n")
+        .select(item, other, cosine.alias("similarity_score"), F.col("k").alias("cooccurrence_count"))
         .filter(F.col("similarity_score") >= min_similarity)
     )
     return both_directions(scored, item, other)

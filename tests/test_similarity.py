@@ -205,3 +205,44 @@ def test_factor_similarity(spark):
         a, b = vectors[i], vectors[j]
         assert s == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), abs=1e-6)
         assert got[(j, i)] == pytest.approx(s)
+
+
+@pytest.mark.parametrize("least, busy, block", [(1, 10**6, 500), (3, 10**6, 500), (3, 12, 4), (2, 0, 6), (4, 15, 5)])
+def test_raters_are_counted_without_ratings(spark, least, busy, block):
+    cells = sorted({(u, i) for u, i, _ in random_rows(least + block)})
+    raters = {i: {u for u, j in cells if j == i} for i in range(25)}
+    wanted = {(i, j): len(raters[i] & raters[j]) for i in range(24) for j in range(i)}
+    frame = spark.createDataFrame([(u, 1000 - i) for u, i in cells], "u int, i long")
+    numbers = spark.createDataFrame([(1000 - i, i) for i in range(24)], "i long, n long")
+    df = S.co_rater_counts(frame, numbers, least, block, busy)
+    rows = df.collect()
+    got = {(max(r.m, r.n), min(r.m, r.n)): r.k for r in rows}
+    assert len(rows) == len(got)
+    assert got == {p: k for p, k in wanted.items() if k >= least}
+
+
+def test_factor_pairs_are_shuffled_as_numbers(spark):
+    """No rating goes with an item of a pair, and ratings without a user have no pairs."""
+    rows = [(u, i, 3) for u in range(5) for i in range(12)] + [(None, i, 3) for i in range(90, 99)]
+    ratings = spark.createDataFrame(rows, SCHEMA)
+    factors = spark.createDataFrame([(i, [1.0, i + 1.0]) for i in range(99)], "movie_id int, features array<float>")
+    df = ALS.factor_similarity(ratings, factors, -1.1, 1)
+    assert df.count() == 12 * 11 and {r.cooccurrence_count for r in df.collect()} == {5}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    arrays = re.findall(r"Aggregate \[i#\w+\], \[i#\w+, sort_array\(flatten\(collect_list\((\w+)#", plan)
+    assert arrays == ["js"] and "sxy" not in plan, plan
+
+
+def test_ratings_are_numbered_once_for_the_solver(spark):
+    ratings = spark.createDataFrame(random_rows(14, 10, 6), SCHEMA)
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    counted = spark.createDataFrame(ratings.rdd.mapPartitions(mark), SCHEMA)
+    ALS.item_factors(counted, rank=2, iterations=1)
+    # users, items and the numbered ratings; a part of them once more for the bucket sizes
+    assert seen.value <= 5 * ratings.count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +87,20 @@ def grams(text: Column, q: int = 3) -> Column:
     return F.get(F.transform(F.array(F.filter(chars, lambda c: c != "")), pieces), F.lit(0))
 
 
+def text_grams(text: Column, lengths: Column, q: int = 3) -> Column:
+    """``grams`` of the lengths in use, found by a pattern that looks ahead at every place of the text.
+
+    Next to a character outside the basic plane it may find some that are none; these are only looked for in vain.
+    """
+    def of(n: int) -> Column:
+        found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        return F.when(F.array_contains(lengths, n), found).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of, range(1, q + 1)))
+
+
+#: characters of the grams that keywords are filed under: most keywords are not longer, so what meets is mostly held
+GRAM = 6
 #: words of 64 bits of the sketch of a keyword table's grams
 SKETCH_WORDS = 8192
 
@@ -116,11 +130,14 @@ def match_keywords(
     columns: Sequence[str],
     keywords: DataFrame,
     out: str = "keyword",
-    q: int = 3,
+    q: int = GRAM,
     rarity_share: float = 0.05,
+    once: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per row of ``df`` and keyword of a *table* found in any of the columns.
 
+    ``once`` names columns to be added, computed for a row before it is repeated for each of its keywords.
+
     An inverted index of character grams: each keyword is filed under one of its grams of ``q`` characters,
     the rarest in a share of the texts (that choice changes the work, not the result); a shorter one
     under itself. Texts send those of their distinct grams that have their bit set in a sketch of the
@@ -129,15 +146,15 @@ def match_keywords(
     count once.
     """
     lowered = {f"_lower_{name}": F.lower(F.coalesce(name, F.lit(""))) for name in columns}
-    once = X.compute_once(df, **lowered)
-    keyed = once.withColumn("_texts", F.xxhash64(*lowered))
+    keyed = X.compute_once(df, **lowered).withColumn("_texts", F.xxhash64(*lowered))
     words = (
         keywords.select(F.col(out).alias("_word"))
         .filter("_word != ''")
         .distinct()
         .withColumn("_needle", F.lower("_word"))
     )
-    held = F.explode(F.array_distinct(F.flatten(F.array(*[grams(F.col(c), q) for c in lowered]))))
+    lengths = words.agg(F.collect_set(F.least(F.length("_needle"), F.lit(q)))).scalar()
+    held = F.explode(F.array_distinct(F.concat(*[text_grams(F.col(c), lengths, q) for c in lowered])))
     # by other columns than the texts, where there are any: rows left out are not lower-cased or parsed
     drawn_by = [F.col(f"`{c}`") for c in df.columns if c not in columns] or [F.col("_texts")]
     sampled = F.pmod(F.xxhash64(*drawn_by), F.lit(1000)) < F.lit(int(1000 * rarity_share))
@@ -157,29 +174,35 @@ def match_keywords(
     holds = F.lit(False)
     for column in lowered:
         holds = holds | F.contains(column, F.col("_needle"))
-    return keyed.join(met, "_texts").filter(holds).withColumn(out, F.col("_word")).drop(
+    rows = X.compute_once(keyed, **once) if once else keyed
+    return rows.join(met, "_texts").filter(holds).withColumn(out, F.col("_word")).drop(
         *lowered, "_texts", "_word", "_needle"
     )
 
 
 def explode_stock_keywords(
-    df: DataFrame, columns: Sequence[str], stocks: DataFrame, out: str = "keyword"
+    df: DataFrame,
+    columns: Sequence[str],
+    stocks: DataFrame,
+    out: str = "keyword",
+    once: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per stock and keyword of it found in any of the columns, with ``stock_name``.
 
-    ``stocks`` has ``name`` and ``keywords``, any number of them.
+    ``stocks`` has ``name`` and ``keywords``, any number of them; ``once`` as in ``match_keywords``.
     """
     pairs = stocks.select(
         F.col("name").alias("stock_name"), F.explode("keywords").alias(out)
     ).filter(F.col(out) != "").distinct()
-    return match_keywords(df, columns, pairs, out).join(pairs, out)
+    return match_keywords(df, columns, pairs, out, once=once).join(pairs, out)
 
 
 def stock_articles(
     parsed: DataFrame, stocks: DataFrame, source: Column, run_time: Column
 ) -> DataFrame:
     """Raw article rows for the article flow: every parsed page once per stock keyword it is about."""
-    hits = explode_stock_keywords(parsed, ["title", "content"], stocks)
+    digest = X.content_hash(F.col("title"), F.col("content"))
+    hits = explode_stock_keywords(parsed, ["title", "content"], stocks, once={"content_hash": digest})
     return _article_rows(hits, source, run_time, "stock_name")
 
 
@@ -191,12 +214,12 @@ def extract_articles(
     Expects ``url``, ``title`` and ``content``. The full text stays in ``full_content``;
     ``content`` is its preview.
     """
-    return _article_rows(explode_keywords(parsed, ["title", "content"], keywords), source, run_time)
+    hits = explode_keywords(parsed, ["title", "content"], keywords)
+    hits = X.compute_once(hits, content_hash=X.content_hash(F.col("title"), F.col("content")))
+    return _article_rows(hits, source, run_time)
 
 
 def _article_rows(hits: DataFrame, source: Column, run_time: Column, *more: str) -> DataFrame:
-    digest = X.content_hash(F.col("title"), F.col("content"))
-    hits = X.compute_once(hits, content_hash=digest)
     return hits.select(
         *more,
         source.alias("source"),

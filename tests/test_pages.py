@@ -1,3 +1,4 @@
+import hashlib
 import random
 from html.parser import HTMLParser
 
@@ -263,3 +264,27 @@ def test_grams_of_no_keyword_are_not_shuffled(spark):
     assert found == sorted((i, k) for i, x in rows for k in ("looked", "17", "Zx", "zX", "nowhere") if k.lower() in x)
     assert "getbit" in final
     assert not re.search(r"Exchange hashpartitioning\(_texts#\w+, _word#", final), final
+
+
+def test_keywords_of_all_lengths_against_plain_search(spark):
+    marks = ["a", "é", "😀", " ", "b"]
+    rng = random.Random(5)
+    draw = lambda most: "".join(rng.choice(marks) for _ in range(rng.randint(0, most)))
+    texts = [(n, draw(30), draw(9)) for n in range(60)]
+    words = sorted({draw(9) for _ in range(200)} | {"?", "?a", "aaaaaaa", "\n"})
+    pages = spark.createDataFrame(texts, "id int, a string, b string")
+    table = spark.createDataFrame([(w,) for w in words], "keyword string")
+    got = P.match_keywords(pages, ["a", "b"], table, once={"size": F.length("a")}).collect()
+    want = {(n, w) for n, a, b in texts for w in words if w and (w in a or w in b)}
+    assert {(r.id, r.keyword) for r in got} == want and len(got) == len(want)
+    assert {(r.id, r.size) for r in got} == {(n, len(a)) for n, a, _ in texts if n in {r.id for r in got}}
+
+
+def test_pages_are_hashed_before_they_are_repeated(spark):
+    parsed = spark.createDataFrame([("u", "one", "two three"), ("v", "six", "ten")], "url string, title string, content string")
+    stocks = spark.createDataFrame([("s", ["two", "three", "one"])], "name string, keywords array<string>")
+    df = P.stock_articles(parsed, stocks, F.lit("x"), F.lit("2024-02-01").cast("timestamp")).select("keyword", "content_hash")
+    digest = hashlib.md5(b"onetwo three").hexdigest()
+    assert {(r.keyword, r.content_hash) for r in df.collect()} == {(w, digest) for w in ("one", "two", "three")}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("md5(") and plan.count("md5(") == 1, plan

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,3 +53,26 @@ def test_pairs_of_old_cells_do_not_meet(spark):
     assert pairs.count() == 2 * 20 + 1 + 19
     assert pairs.agg(F.sum("k")).first()[0] == 41
     assert pairs.where("i >= j").isEmpty()
+
+
+def test_pairs_of_a_state_are_dealt_once(spark):
+    """By their first item: rows of pairs are dealt by both items for busy ones only, and a state is not dealt again."""
+    rng = random.Random(6)
+    state = SS.initial_state(spark.createDataFrame(rows_of(rng, 200), SCHEMA))
+    pairs = SS.after_increment(state, spark.createDataFrame(rows_of(rng, 30), SCHEMA)).pairs
+    assert len(pairs.collect()) == pairs.select("i", "j").distinct().count() == 9 * 8 / 2
+    final = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not re.search(r"Exchange hashpartitioning\(i#\w+, j#", final), final
+    assert len(re.findall(r"Exchange hashpartitioning\(i#\w+, \d+\), REPARTITION_BY_NUM", final)) == 2, final
+
+
+@pytest.mark.parametrize("block_items", [2, 500])
+def test_busy_items_of_a_state(spark, block_items):
+    rng = random.Random(7)
+    rows = [rows_of(rng, 120), rows_of(rng, 50, users=15, items=12)]
+    old, new = [spark.createDataFrame(part, SCHEMA) for part in rows]
+    everything = as_dict(SS.initial_state(old.unionByName(new)).pairs, ["i", "j"])
+    for busy in (0, 12):
+        state = SS.initial_state(old, block_items=block_items, busy_raters=busy)
+        got = as_dict(SS.after_increment(state, new, block_items=block_items, busy_raters=busy).pairs, ["i", "j"])
+        assert got == {pair: pytest.approx(sums) for pair, sums in everything.items()}

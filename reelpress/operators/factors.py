@@ -51,7 +51,8 @@ def item_factors(
     """``(item, features)``. Long iterations cut their lineage in the checkpoint folder.
 
     The solver wants ids in the range of int, so users and items get dense numbers first. It runs what it is given
-    twice, once for its log only, so the numbered ratings are written there too.
+    twice, once for its log only, so the numbered ratings are written there too. Its blocks are kept on disk: a task
+    that builds one holds a tenth of all ratings in several copies, and blocks kept in memory leave it no room.
     """
     folder = use_checkpoints(ratings.sparkSession)
     users = dense_ids(ratings, user, "_u")
@@ -63,7 +64,7 @@ def item_factors(
     numbered.write.parquet(kept)
     als = ALS(
         rank=rank, maxIter=iterations, regParam=regularisation, seed=seed, userCol="_u",
-        itemCol="_i", ratingCol=rating, checkpointInterval=5,
+        itemCol="_i", ratingCol=rating, checkpointInterval=5, intermediateStorageLevel="DISK_ONLY",
     )
     found = als.fit(ratings.sparkSession.read.schema(numbered.schema).parquet(kept)).itemFactors
     return found.join(items, found["id"] == items["_i"]).select(item, "features")

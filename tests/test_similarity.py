@@ -246,3 +246,26 @@ def test_ratings_are_numbered_once_for_the_solver(spark):
     ALS.item_factors(counted, rank=2, iterations=1)
     # users, items and the numbered ratings; a part of them once more for the bucket sizes
     assert seen.value <= 5 * ratings.count()
+
+
+def test_the_solver_leaves_its_memory_to_tasks(spark, monkeypatch):
+    """Blocks on disk, and the factors of a solver that keeps them in memory."""
+    ratings = spark.createDataFrame(random_rows(15, 10, 6), SCHEMA)
+    levels = []
+
+    class Seen(ALS.ALS):
+        level = None
+
+        def fit(self, dataset):
+            levels.append(self.getIntermediateStorageLevel())
+            if self.level:
+                self.setIntermediateStorageLevel(self.level)
+            return super().fit(dataset)
+
+    monkeypatch.setattr(ALS, "ALS", Seen)
+    on_disk = {r.movie_id: r.features for r in ALS.item_factors(ratings, rank=2, iterations=2).collect()}
+    assert levels == ["DISK_ONLY"]
+    Seen.level = "MEMORY_AND_DISK"
+    in_memory = {r.movie_id: r.features for r in ALS.item_factors(ratings, rank=2, iterations=2).collect()}
+    assert on_disk.keys() == in_memory.keys()
+    assert all(on_disk[i] == pytest.approx(in_memory[i], rel=1e-4) for i in on_disk)
